@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlab.functions.text import WS, _col, strip
+from reviewlab.functions.text import _col, strip
 from reviewlab.schema import NEGATIVE, NEUTRAL, POSITIVE
 
 # Accepts decimal notation and infinity; refuses the d/f suffixes and hexadecimal
 # floats a plain cast would take, and NaN, which compares as the largest number.
-NUMBER = (
-    rf"^[{WS}]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[{WS}]*$"
-    rf"|^[{WS}]*[+-]?(?i:inf|infinity)[{WS}]*$"
-)
+NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 # What each label adds to the stars, and the star range.
 RATING_RULE = {"Positive": 0.25, "Neutral": 0.0, "Negative": -0.25}
@@ -23,8 +20,8 @@ RATING_MAX = 5.0
 def to_number(c: Column | str) -> Column:
     """Number as DOUBLE; anything unparsable and NaN become null."""
     c = _col(c)
-    text = c.cast("string")
-    parsed = F.when(text.rlike(NUMBER), strip(text).try_cast("double"))
+    text = strip(c.cast("string"))
+    parsed = F.when(text.rlike(NUMBER), text.try_cast("double"))
     # typeof is constant at planning time, so only one branch survives.
     value = F.when(F.typeof(c) == "string", parsed).otherwise(c.try_cast("double"))
     return F.nanvl(value, F.lit(None).cast("double"))

@@ -52,5 +52,5 @@ def clean_generated(c: Column | str, min_len: int = 8) -> Column:
     # Each step reads its input several times, so it is bound once per step.
     text = strip(c)
     for marker in ECHO_MARKERS:
-        text = let(text, lambda t, marker=marker: _after_marker(t, marker))
+        text = let(text, lambda t: _after_marker(t, marker))
     return let(text, lambda t: F.when(F.length(t) < min_len, strip(c)).otherwise(t))

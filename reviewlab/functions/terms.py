@@ -26,8 +26,10 @@ def ngrams(words: Column, lo: int = 1, hi: int = 2) -> Column:
     empty = F.array().cast("array<string>")
 
     def of_size(ws: Column, n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(ws) - (n - 1))
-        grams = F.transform(starts, lambda i: F.array_join(F.slice(ws, i, n), " "))
+        starts = F.sequence(F.lit(0), F.size(ws) - n)
+        grams = F.transform(
+            starts, lambda i: F.concat_ws(" ", *[F.get(ws, i + j) for j in range(n)])
+        )
         return F.when(F.size(ws) >= n, grams).otherwise(empty)
 
     def every_size(ws: Column) -> Column:

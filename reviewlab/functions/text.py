@@ -5,16 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 # The code points Python's str.isspace and \s accept. Java's \s is
-# ASCII only, so the class is written out wherever whitespace matters.
-WS = (
-    r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# ASCII only, so the set is written out wherever whitespace matters.
+WHITESPACE = "".join(
+    map(
+        chr,
+        [
+            *range(0x09, 0x0E),
+            *range(0x1C, 0x21),
+            0x85,
+            0xA0,
+            0x1680,
+            *range(0x2000, 0x200B),
+            0x2028,
+            0x2029,
+            0x202F,
+            0x205F,
+            0x3000,
+        ],
+    )
 )
 
 # Four invisible characters become a space, the soft hyphen goes.
 INVISIBLE_TO_SPACE = "\u200b\u200c\u200d\ufeff"
 DROPPED = "\u00ad"
 
-URL = rf"https?://[^{WS}]+|www\.[^{WS}]+"
+# Fixed value: URLs, in text whose only whitespace is the space.
+URL = r"https?://[^ ]+|www\.[^ ]+"
 
 # Phrases that mark a question besides the question mark.
 QUESTION_PHRASES = [
@@ -33,13 +49,29 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing whitespace of any kind (``trim`` knows spaces only)."""
-    return F.regexp_replace(_col(c), rf"^[{WS}]+|[{WS}]+$", "")
+    """Remove leading and trailing whitespace of any kind (``trim`` alone knows spaces)."""
+    return F.trim(_col(c), F.lit(WHITESPACE))
+
+
+def spaced(c: Column | str, also: str = "", drop: str = "") -> Column:
+    """Every whitespace character, and those in ``also``, as a plain space."""
+    old = WHITESPACE.replace(" ", "") + also
+    return F.translate(_col(c), old + drop, " " * len(old))
+
+
+def _collapse(c: Column) -> Column:
+    # Single spaces are left alone, so the expression rarely has anything to copy.
+    return F.trim(F.regexp_replace(c, " {2,}", " "))
 
 
 def squeeze(c: Column | str) -> Column:
     """Whitespace runs become one space; ends are stripped."""
-    return F.trim(F.regexp_replace(_col(c), rf"[{WS}]+", " "))
+    return _collapse(spaced(c))
+
+
+def split_words(c: Column | str) -> Column:
+    """Whitespace-separated words."""
+    return F.array_remove(F.split(spaced(c), " "), "")
 
 
 def build_text(df: DataFrame, cols: tuple[str, ...] = ("summary", "reviewText")) -> Column:
@@ -51,13 +83,18 @@ def build_text(df: DataFrame, cols: tuple[str, ...] = ("summary", "reviewText"))
     return strip(F.concat_ws(" ", *parts))
 
 
+def _visible_lower(c: Column | str) -> Column:
+    """Plain spaces only, no invisible characters, no URLs, lower case."""
+    plain = spaced(c, INVISIBLE_TO_SPACE, DROPPED)
+    return F.lower(F.regexp_replace(plain, URL, ""))
+
+
 def clean_text(c: Column | str) -> Column:
     """Drop invisible characters and URLs, lower-case, squeeze whitespace.
 
     URLs go before lower-casing, so an upper-case scheme is kept as a word.
     """
-    visible = F.translate(_col(c), INVISIBLE_TO_SPACE + DROPPED, " " * len(INVISIBLE_TO_SPACE))
-    return squeeze(F.lower(F.regexp_replace(visible, URL, "")))
+    return _collapse(_visible_lower(c))
 
 
 def normalize_ws(c: Column | str) -> Column:
@@ -67,13 +104,27 @@ def normalize_ws(c: Column | str) -> Column:
 
 def normalize_tokens(c: Column | str) -> Column:
     """Cleaned text reduced to ``[a-z0-9 ]``; everything else separates words."""
-    return F.trim(F.regexp_replace(clean_text(c), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(_visible_lower(c), "[^a-z0-9]+", " "))
+
+
+def has_tokens(c: Column | str) -> Column:
+    """Whether ``normalize_tokens`` leaves anything, mostly without computing it.
+
+    A text that cannot contain a URL, even after soft hyphens are removed, keeps its
+    letters and digits; the two non-ASCII letters listed become ASCII in lower case.
+    """
+    c = _col(c)
+    suspect = (
+        F.contains(c, F.lit("http")) | F.contains(c, F.lit("www.")) | F.contains(c, F.lit(DROPPED))
+    )
+    return F.when(suspect, F.length(normalize_tokens(c)) > 0).otherwise(
+        c.rlike(r"[A-Za-z0-9\u0130\u212a]")
+    )
 
 
 def word_count(c: Column | str) -> Column:
     """Number of whitespace-separated words; null counts as none."""
-    body = strip(F.coalesce(_col(c), F.lit("")))
-    return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, rf"[{WS}]+")))
+    return F.size(split_words(F.coalesce(_col(c), F.lit(""))))
 
 
 def char_count(c: Column | str) -> Column:

@@ -60,9 +60,9 @@ def numeric_frequencies(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def weighted_percentile(value: str | Column, p: float, n: str | Column = "n") -> Column:
+def weighted_percentile(value: str, p: float, n: str = "n") -> Column:
     """Exact, linearly interpolated percentile of a frequency table."""
-    return F.percentile(value, p, n)
+    return F.percentile(value, p, F.col(n))
 
 
 def describe_frequencies(freq: DataFrame, ps: list[float]) -> DataFrame:

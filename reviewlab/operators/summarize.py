@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from reviewlab.functions.terms import tokens
-from reviewlab.functions.text import WS, _col, normalize_tokens, squeeze, word_count
+from reviewlab.functions.text import _col, normalize_tokens, spaced, squeeze, word_count
 from reviewlab.operators.generate import _first_or_all, long_texts
 
 #: Enough for any sum order to round alike when sentences tie.
@@ -18,8 +18,8 @@ SCORE_DIGITS = 6
 
 def sentences(text: Column | str) -> Column:
     """Sentences of a text: cut after ., ! or ? followed by whitespace."""
-    parts = F.split(_col(text), rf"(?<=[.!?])[{WS}]+")
-    return F.filter(F.transform(parts, squeeze), lambda s: s != "")
+    parts = F.split(spaced(text), "(?<=[.!?]) +")
+    return F.filter(F.transform(parts, lambda s: squeeze(s)), lambda s: s != "")
 
 
 def summarize_long(
@@ -38,15 +38,17 @@ def summarize_long(
     split = (
         chosen.select("review_id", "original_text")
         .repartition("review_id")
-        .select("review_id", F.posexplode(sentences("original_text")).alias("pos", "sentence"))
+        .select("review_id", F.posexplode_outer(sentences("original_text")).alias("pos", "sentence"))
+        .filter("sentence is not null")
         .withColumn("n_words", word_count("sentence"))
     )
     used = (
         split.select(
             "review_id",
             "pos",
-            F.explode(tokens(normalize_tokens("sentence"))).alias("term"),
+            F.explode_outer(tokens(normalize_tokens("sentence"))).alias("term"),
         )
+        .filter("term is not null")
         .groupBy("review_id", "pos", "term")
         .agg(F.count(F.lit(1)).alias("times"))
         .withColumn("tf", F.sum("times").over(Window.partitionBy("review_id", "term")))

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
-from reviewlab.functions.terms import count_terms, ngrams, tokens
-from reviewlab.functions.text import normalize_tokens
+from reviewlab.functions.terms import count_terms, let, ngrams, tokens
+from reviewlab.functions.text import has_tokens, normalize_tokens
 from reviewlab.schema import LABELS, require_columns
 
 #: Largest vocabulary that is sent to every executor (about 100 bytes a term).
@@ -23,9 +23,8 @@ def prepare_text(
 ) -> DataFrame:
     """Normalise the text, drop rows without any and rows outside the label domain."""
     require_columns(df, [text] + ([label] if label else []))
-    rows = df.withColumn(out, normalize_tokens(F.coalesce(F.col(text), F.lit("")))).filter(
-        F.length(out) > 0
-    )
+    # The test is on the raw text: one on the new column would compute it twice.
+    rows = df.filter(has_tokens(text)).withColumn(out, normalize_tokens(text))
     return rows.filter(F.col(label).isin(LABELS)) if label else rows
 
 
@@ -44,7 +43,13 @@ def tokenize_ngrams(
     df: DataFrame, row_id: str = "row_id", text: str = "text_norm", ngram: tuple[int, int] = (1, 2)
 ) -> DataFrame:
     """``(row_id, term, tf)``, one row per distinct term of a row."""
-    return row_terms(df, row_id, text, ngram).select(row_id, F.inline("terms"))
+    return _unnest(row_terms(df, row_id, text, ngram), row_id)
+
+
+def _unnest(terms: DataFrame, *keep: str) -> DataFrame:
+    """One row per term. The outer form keeps the planner from adding a non-empty test
+    that would count every row's terms a second time."""
+    return terms.select(*keep, F.inline_outer("terms")).filter("term is not null")
 
 
 def _bound(limit: int | float) -> Column:
@@ -66,7 +71,7 @@ def fit_vocabulary(
         raise ValueError("max_features must be positive")
     n_docs = terms.agg(F.count(F.lit(1)).alias("n_docs"))
     counted = (
-        terms.select(F.inline("terms"))
+        _unnest(terms)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
         .crossJoin(F.broadcast(n_docs))
@@ -107,25 +112,26 @@ def tfidf_rows(
     )
     # A row's terms sit next to each other, so one array per row is what is shuffled.
     grouped = weighted.groupBy(row_id).agg(F.sort_array(F.collect_list("entry")).alias("raw"))
-    normed = grouped.withColumn(
-        "norm", F.sqrt(F.aggregate("raw", F.lit(0.0), lambda a, e: a + e["raw"] * e["raw"]))
-    )
-    return normed.select(
-        row_id,
-        F.transform(
+
+    # Bound once: inside the element function the length would be computed per element.
+    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda a, e: a + e["raw"] * e["raw"]))
+    entries = let(
+        norm,
+        lambda length: F.transform(
             "raw",
             lambda e: F.struct(
                 e["term_id"].alias("term_id"),
                 e["term"].alias("term"),
-                (e["raw"] / F.col("norm")).alias("weight"),
+                (e["raw"] / length).alias("weight"),
             ),
-        ).alias("entries"),
+        ),
     )
+    return grouped.select(row_id, entries.alias("entries"))
 
 
 def tfidf_long(rows: DataFrame, row_id: str = "row_id") -> DataFrame:
     """``(row_id, term_id, term, weight)``."""
-    return rows.select(row_id, F.inline("entries"))
+    return rows.select(row_id, F.inline_outer("entries")).filter("term is not null")
 
 
 def vector_struct(indices: Column, values: Column, size: int | Column) -> Column:

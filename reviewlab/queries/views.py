@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlab.functions.labels import label_sentiment
 from reviewlab.functions.text import text_lengths
+from reviewlab.sources.stages import spread
 
 # Whitespace as the SQL engine's regular expressions spell it.
 WS_SQL = (
@@ -14,11 +15,11 @@ WS_SQL = (
 
 # A small lexicon over words the documents contain.
 LEXICON = [
-    ("worthless", -2.5), ("that", 0.4), ("with", 1.1), ("was", -0.6), ("for", 0.7),
-    ("this", 0.2), ("are", -0.3), ("la", 0.9), ("de", -0.8), ("que", -1.2), ("le", 0.5),
-    ("der", -0.4), ("und", 1.3), ("die", -1.9), ("von", 0.8), ("les", -0.2), ("est", 1.6),
-    ("pour", 2.1), ("mit", 0.6), ("ist", -0.9), ("from", 1.0), ("it", -0.1), ("by", 0.3),
-    ("los", -1.4), ("del", 0.6), ("qui", -0.7), ("sur", 1.2), ("then", -1.1), ("than", 0.8),
+    ("worthless", -2.5), ("that", 0.5), ("with", 1.25), ("was", -0.5), ("for", 0.75),
+    ("this", 0.25), ("are", -0.25), ("la", 1.0), ("de", -0.75), ("que", -1.25), ("le", 0.5),
+    ("der", -0.5), ("und", 1.25), ("die", -2.0), ("von", 0.75), ("les", -0.25), ("est", 1.5),
+    ("pour", 2.0), ("mit", 0.5), ("ist", -1.0), ("from", 1.0), ("it", -0.25), ("by", 0.25),
+    ("los", -1.5), ("del", 0.5), ("qui", -0.75), ("sur", 1.25), ("then", -1.0), ("than", 0.75),
 ]
 
 
@@ -57,9 +58,10 @@ def product_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("review_id"), "text", F.col("source").alias("asin"), "lang"
     )
+    return spread(rows, "review_id")
 
 
 def measured_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # The sentiment domain, in report order.
 POSITIVE, NEUTRAL, NEGATIVE = "Positive", "Neutral", "Negative"
@@ -45,4 +45,4 @@ def select_existing(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def label_table(spark: SparkSession, col: str = "sentiment") -> DataFrame:
     """The label domain as a three-row table."""
-    return spark.createDataFrame([(label,) for label in LABELS], f"{col} string")
+    return spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in LABELS])).alias(col))

@@ -48,6 +48,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows over the cores when the scan offers fewer tasks than there are cores.
+
+    A small or unsplittable file would otherwise send all text work to one task. A scan
+    with enough splits is returned as it is, so large inputs are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df.select(key).rdd.getNumPartitions()
+    return df if tasks >= cores else df.repartition(cores, key)
+
+
 def write_summary(df: DataFrame, path: str) -> None:
     """Write a one-row report as JSON."""
     df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
