@@ -28,6 +28,9 @@ LOGREG_GRID = {
 }
 SVM_GRID = {"C": [0.1, 1.0, 10.0], "classWeight": ["none", "balanced"]}
 
+#: Training rows one task should have at least.
+ROWS_PER_TASK = 20_000
+
 
 def with_class_index(df: DataFrame, label: str = "sentiment", out: str = "label") -> DataFrame:
     """Add the class number, classes in alphabetical order."""
@@ -72,8 +75,10 @@ class _Regularised(Params):
                 weight = F.when(F.col(label) == c, F.lit(total / (len(sizes) * n))).otherwise(
                     weight
                 )
+        # An iteration is one job: more tasks than the rows are worth only cost time.
+        rows = dataset.coalesce(max(1, -(-int(total) // ROWS_PER_TASK)))
         # Balanced weights add up to the number of rows as well.
-        return dataset.withColumn("_weight", weight), total
+        return rows.withColumn("_weight", weight), total
 
 
 class PenalisedLogisticRegression(
@@ -85,6 +90,7 @@ class PenalisedLogisticRegression(
     def __init__(self, *, C=1.0, classWeight="none", maxIter=1000, featuresCol="features",
                  labelCol="label", predictionCol="prediction"):
         super().__init__()
+        self._setDefault(C=1.0, classWeight="none", maxIter=1000)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> LogisticRegressionModel:
@@ -112,6 +118,7 @@ class PairwiseLinearSVC(
     def __init__(self, *, C=1.0, classWeight="none", maxIter=100, featuresCol="features",
                  labelCol="label", predictionCol="prediction"):
         super().__init__()
+        self._setDefault(C=1.0, classWeight="none", maxIter=100)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "PairwiseLinearSVCModel":

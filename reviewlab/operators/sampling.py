@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from reviewlab.functions.hashing import hash_bucket, seeded_hash
 from reviewlab.operators.profile import majority_label
 from reviewlab.schema import LABELS, require_columns
+from reviewlab.sources.stages import materialize
 
 _ALL = "*"
 
@@ -320,18 +321,21 @@ def group_stratified_split(
     labels: list[str] = LABELS, drop_null_group: bool = True,
 ) -> DataFrame:
     """Add ``split``: groups are divided, stratified by their majority label, and every
-    row follows its group. Rows without a group are dropped, or form one group."""
+    row follows its group. Rows without a group are dropped, or form one group.
+
+    The table of groups is read several times, so it is written once.
+    """
     require_columns(df, [label, group])
     rows = df.filter(F.col(label).isin(labels))
     if drop_null_group:
         rows = rows.filter(F.col(group).isNotNull())
-        table = majority_label(rows, group, label, labels)
+        table = materialize(majority_label(rows, group, label, labels), "groups")
         assigned = stratified_split(table, group, label, fraction, seed).drop(label)
         return attach_by_group(rows, assigned, group, "n")
     named = rows.withColumn(
         "_group", F.concat_ws(":", F.lit("g"), F.col(group).cast("string"))
     )
-    table = majority_label(named, "_group", label, labels)
+    table = materialize(majority_label(named, "_group", label, labels), "groups")
     assigned = stratified_split(table, "_group", label, fraction, seed).drop(label)
     return attach_by_group(named, assigned, "_group", "n").drop("_group")
 
@@ -354,28 +358,19 @@ def shared_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return distinct_keys(left, key).intersect(distinct_keys(right, key))
 
 
-def leakage_report(train: DataFrame, test: DataFrame, keys: list[str]) -> DataFrame:
-    """``(key_name, train_keys, test_keys, shared_keys)`` for each key column.
+def _tagged_keys(df: DataFrame, keys: list[str], bit: Column) -> DataFrame:
+    """``(key_name, key, side)``, one row per key column."""
+    pairs = F.array(
+        *[
+            F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key"))
+            for k in keys
+        ]
+    )
+    return df.select(F.inline(pairs), bit.alias("side")).filter("key is not null")
 
-    Both sides are tagged and combined into one grouped pass over ``(name, key)``.
-    """
 
-    def tagged(df: DataFrame, bit: int) -> DataFrame:
-        pairs = F.array(
-            *[
-                F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key"))
-                for k in keys
-            ]
-        )
-        return df.select(F.inline(pairs)).withColumn("side", F.lit(bit))
-
-    seen = (
-        tagged(train, 1)
-        .unionByName(tagged(test, 2))
-        .filter("key is not null")
-        .groupBy("key_name", "key")
-        .agg(F.bit_or("side").alias("sides"))
-    )
+def _overlap(tagged: DataFrame) -> DataFrame:
+    seen = tagged.groupBy("key_name", "key").agg(F.bit_or("side").alias("sides"))
     return seen.groupBy("key_name").agg(
         F.count_if(F.col("sides").bitwiseAND(1) != 0).alias("train_keys"),
         F.count_if(F.col("sides").bitwiseAND(2) != 0).alias("test_keys"),
@@ -383,6 +378,22 @@ def leakage_report(train: DataFrame, test: DataFrame, keys: list[str]) -> DataFr
     )
 
 
+def leakage_report(train: DataFrame, test: DataFrame, keys: list[str]) -> DataFrame:
+    """``(key_name, train_keys, test_keys, shared_keys)`` for each key column.
+
+    Both sides are tagged and combined into one grouped pass over ``(name, key)``.
+    """
+    return _overlap(
+        _tagged_keys(train, keys, F.lit(1)).unionByName(_tagged_keys(test, keys, F.lit(2)))
+    )
+
+
+def split_leakage(df: DataFrame, keys: list[str], split: str = "split") -> DataFrame:
+    """``leakage_report`` for a table that carries its split as a column, in one scan."""
+    side = F.when(F.col(split) == "train", 1).otherwise(2)
+    return _overlap(_tagged_keys(df, keys, side))
+
+
 def warn_on_leakage(report: DataFrame) -> None:
     """Warn for each key column that both sides share. Collects one row per column."""
     for row in report.filter("shared_keys > 0").collect():

@@ -104,19 +104,30 @@ def _leakage_sql(key: str) -> str:
 {' UNION ALL '.join(_leakage_sql(k) for k in ('"reviewerID"', 'asin', 'review_id'))}""")
 def leakage_report(spark, sf):
     df = sampling.group_stratified_split(v.labelled_reviews(spark, sf), "reviewerID")
-    return sampling.leakage_report(
-        df.filter("split = 'train'"), df.filter("split = 'test'"),
-        ["reviewerID", "asin", "review_id"],
-    )
+    return sampling.split_leakage(df, ["reviewerID", "asin", "review_id"])
 
 
-@query(f"""{v.with_views(v.REVIEWS)}, {_GROUP_SPLIT_SQL}
-SELECT asin FROM divided WHERE split = 'train' INTERSECT
-SELECT asin FROM divided WHERE split = 'test'""")
+@query(f"""{v.with_views(v.REVIEWS)}
+SELECT asin FROM reviews WHERE verified INTERSECT SELECT asin FROM reviews WHERE NOT verified""")
 def shared_products(spark, sf):
-    df = sampling.group_stratified_split(v.labelled_reviews(spark, sf), "reviewerID")
-    return sampling.shared_keys(
-        df.filter("split = 'train'"), df.filter("split = 'test'"), "asin"
+    df = v.reviews(spark, sf)
+    return sampling.shared_keys(df.filter("verified"), df.filter("not verified"), "asin")
+
+
+@query(f"""{v.with_views(v.REVIEWS)},
+a AS (SELECT * FROM reviews WHERE verified), b AS (SELECT * FROM reviews WHERE NOT verified)
+SELECT k AS key_name, CAST(t AS BIGINT) AS train_keys, CAST(u AS BIGINT) AS test_keys,
+       CAST(s AS BIGINT) AS shared_keys FROM (VALUES
+  ('asin', (SELECT count(DISTINCT asin) FROM a), (SELECT count(DISTINCT asin) FROM b),
+   (SELECT count(*) FROM (SELECT asin FROM a INTERSECT SELECT asin FROM b))),
+  ('reviewerID', (SELECT count(DISTINCT "reviewerID") FROM a),
+   (SELECT count(DISTINCT "reviewerID") FROM b),
+   (SELECT count(*) FROM (SELECT "reviewerID" FROM a INTERSECT SELECT "reviewerID" FROM b))))
+  x(k, t, u, s)""")
+def overlap_of_sets(spark, sf):
+    df = v.reviews(spark, sf)
+    return sampling.leakage_report(
+        df.filter("verified"), df.filter("not verified"), ["asin", "reviewerID"]
     )
 
 
