@@ -33,10 +33,13 @@ def _keyed(df: DataFrame, key: str, stratum: Column, seed: int) -> DataFrame:
 
 
 def _bucket_counts(keyed: DataFrame) -> DataFrame:
+    """``(_stratum, _bucket, _n)`` in one partition: at most 2^14 rows per stratum, so the
+    counting of quotas and positions that follows needs no further exchange."""
     return (
         keyed.select("_stratum", hash_bucket("_h").alias("_bucket"))
         .groupBy("_stratum", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .repartition(1)
     )
 
 
@@ -47,24 +50,23 @@ def _stratum_counts(buckets: DataFrame) -> DataFrame:
 def _cut_points(keyed: DataFrame, buckets: DataFrame, targets: DataFrame) -> DataFrame:
     """``targets (_stratum, _cut, _k)`` to ``(_stratum, _cut, _at struct<h, key>)``: the hash
     and key of the row of rank ``_k``. Cuts at rank 0 have no row and are left out."""
-    # At most 2^14 buckets per stratum are ordered here.
     w = Window.partitionBy("_stratum").orderBy("_bucket")
     running = buckets.withColumn(
         "_upto", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
     ).withColumn("_before", F.col("_upto") - F.col("_n"))
-    # One row per stratum and cut: a handful.
+    # Both sides are the one small partition; merging them moves nothing.
     located = (
-        running.join(F.broadcast(targets), "_stratum")
+        running.join(targets.hint("merge"), "_stratum")
         .filter((F.col("_before") < F.col("_k")) & (F.col("_k") <= F.col("_upto")))
         .select("_stratum", "_cut", "_bucket", (F.col("_k") - F.col("_before")).alias("_rank"))
     )
-    edge = keyed.withColumn("_bucket", hash_bucket("_h")).join(
-        F.broadcast(located.select("_stratum", "_bucket").distinct()), ["_stratum", "_bucket"]
-    )
-    inside = Window.partitionBy("_stratum", "_bucket").orderBy("_h", "_key")
+    # One row per stratum and cut. Only keys of the buckets that are cut get ordered.
+    inside = Window.partitionBy("_stratum", "_cut").orderBy("_h", "_key")
     return (
-        edge.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(located), ["_stratum", "_bucket", "_rank"])
+        keyed.withColumn("_bucket", hash_bucket("_h"))
+        .join(F.broadcast(located), ["_stratum", "_bucket"])
+        .withColumn("_place", F.row_number().over(inside))
+        .filter("_place = _rank")
         .select("_stratum", "_cut", F.struct(F.col("_h"), F.col("_key")).alias("_at"))
     )
 
