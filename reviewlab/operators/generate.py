@@ -7,10 +7,12 @@ only place rows meet a Python worker, and they arrive as Arrow batches.
 
 from __future__ import annotations
 
+import sys
 import warnings
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reviewlab.functions.prompts import (
@@ -24,6 +26,9 @@ from reviewlab.functions.text import is_question, preview, word_count
 from reviewlab.operators.sampling import first_n
 from reviewlab.schema import require_columns
 
+# Workers need not have this package: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Generator = Callable[[str], str]
 Factory = Callable[[], Generator]
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from reviewlab.operators import generate as g
@@ -11,6 +14,9 @@ from reviewlab.queries import views as v
 from reviewlab.queries.registry import query
 from reviewlab.queries.texts import _ngram_views, _vocab_view
 
+# Workers need not have this package: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SENTENCES_SQL = f"""sent0 AS (SELECT review_id, unnest(string_split(regexp_replace(
     regexp_replace(text, '[{v.WS_SQL}]', ' ', 'g'), '([.!?]) +', '\\1' || chr(1), 'g'), chr(1))) AS s,
   generate_subscripts(string_split(regexp_replace(

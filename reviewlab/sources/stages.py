@@ -13,11 +13,13 @@ from reviewlab.session import scratch_root
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
 ) -> None:
-    """Write a stage table: Parquet between stages, CSV with a header for readers."""
+    """Write a stage table: Parquet between stages, CSV with a header for people.
+
+    CSV cannot tell an empty text from a missing one; both read back as missing.
+    """
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        # A quote is doubled and an empty text stays apart from a missing one.
-        writer = writer.options(header=True, escape='"', emptyValue='""', nullValue="")
+        writer = writer.options(header=True, escape='"')
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -31,9 +33,7 @@ def read_stage(
     if fmt == "csv":
         if schema is None:
             raise ValueError("reading CSV needs a schema")
-        reader = reader.options(
-            header=True, escape='"', emptyValue="", nullValue="", multiLine=True
-        )
+        reader = reader.options(header=True, escape='"', multiLine=True)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.format(fmt).load(path)
