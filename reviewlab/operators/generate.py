@@ -136,8 +136,7 @@ def generate_summaries(
     the echo of the prompt is removed from what the fallback returns.
     """
     chosen = _first_or_all(long_texts(df, min_words, row_id), n, "long texts")
-    prompted = chosen.withColumn("prompt", build_prompt("original_text", SUMMARY_PROMPT))
-    # One text column travels; the fallback builds its prompt from it.
+    # Only the text travels to the workers; the fallback builds its prompt from it.
     before, after = SUMMARY_PROMPT.split("{text}")
 
     def prompting() -> Generator:
@@ -146,8 +145,9 @@ def generate_summaries(
 
     out = generate(
         chosen, "original_text", primary, prompting if fallback is not None else None
-    ).join(prompted.select("review_id", "prompt"), "review_id")
-    completion = clean_generated(strip_echo("generated", "prompt"))
+    )
+    prompt = build_prompt("original_text", SUMMARY_PROMPT)
+    completion = clean_generated(strip_echo("generated", prompt))
     return out.select(
         "review_id",
         "original_text",

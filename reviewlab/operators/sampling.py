@@ -7,7 +7,9 @@ keys (1 in 16,384) are ordered, and the selection itself is a comparison with a
 few broadcast ``(hash, key)`` cut points. Wide rows are filtered where they are
 read; a stratum with most of the rows is no different from the others.
 
-Rows whose stratum is null belong to no stratum and are not drawn.
+Rows whose stratum is null belong to no stratum and are not drawn. Strata are the
+labels of a domain: the plan itself fails beyond ``MAX_STRATA`` of them, which bounds
+everything that is broadcast here.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from reviewlab.schema import LABELS, require_columns
 from reviewlab.sources.stages import materialize
 
 _ALL = "*"
+MAX_STRATA = 1000
 
 
 def _keyed(df: DataFrame, key: str, stratum: Column, seed: int) -> DataFrame:
@@ -44,7 +47,10 @@ def _bucket_counts(keyed: DataFrame) -> DataFrame:
 
 
 def _stratum_counts(buckets: DataFrame) -> DataFrame:
-    return buckets.groupBy("_stratum").agg(F.sum("_n").alias("_rows"))
+    counts = buckets.groupBy("_stratum").agg(F.sum("_n").alias("_rows"))
+    too_many = F.count(F.lit(1)).over(Window.partitionBy()) > MAX_STRATA
+    problem = F.raise_error(F.lit(f"more than {MAX_STRATA} strata")).cast("bigint")
+    return counts.withColumn("_rows", F.when(too_many, problem).otherwise(F.col("_rows")))
 
 
 def _cut_points(keyed: DataFrame, buckets: DataFrame, targets: DataFrame) -> DataFrame:
@@ -343,9 +349,14 @@ def group_stratified_split(
 
 
 def split_by_keys(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key is in ``keys``, and the others."""
-    wanted = distinct_keys(keys, key)
-    return df.join(wanted, key, "left_semi"), df.join(wanted, key, "left_anti")
+    """Rows whose key is in ``keys``, and the others (a null key is in neither table)."""
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    wanted = per_key.join(distinct_keys(keys, key), key, "left_semi").withColumn(
+        "_selected", F.lit(True)
+    )
+    marked = attach_by_group(df, wanted, key, "_n")
+    inside = marked.filter("_selected").drop("_selected")
+    return inside, marked.filter("_selected is null").drop("_selected")
 
 
 # --- keys in two sets -----------------------------------------------------------------

@@ -26,14 +26,19 @@ def write_table(
 
 
 def read_stage(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Read a stage table. CSV needs its schema: nothing is inferred."""
+    """Read a stage table. CSV needs its schema: nothing is inferred.
+
+    Texts may hold line ends, so a CSV file is one task; ``multiline=False`` lets large
+    files without them be split.
+    """
     reader = spark.read
     if fmt == "csv":
         if schema is None:
             raise ValueError("reading CSV needs a schema")
-        reader = reader.options(header=True, escape='"', multiLine=True)
+        reader = reader.options(header=True, escape='"', multiLine=multiline)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.format(fmt).load(path)
@@ -48,6 +53,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Mark a table for broadcast after counting at most ``max_rows`` + 1 of its rows; a
+    larger one is returned as it is and joined by shuffle."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash rows over the cores when the scan offers fewer tasks than there are cores.
 
