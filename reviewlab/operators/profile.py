@@ -346,7 +346,10 @@ def profile_report(df: DataFrame, k: float = 1.5, digits: int = 4) -> DataFrame:
         )
 
     report = freq.agg(
-        total("exact").alias("subset_rows"),
+        # Every row has an exact key, so keys times their count are the rows.
+        F.coalesce(
+            F.sum(of("exact", F.col("value") * F.col("n"))).cast("bigint"), F.lit(0)
+        ).alias("subset_rows"),
         total("product").alias("unique_products"),
         total("user").alias("unique_users"),
         F.round(mean("rating"), digits).alias("average_rating"),

@@ -94,13 +94,15 @@ def test_value_counts_share(spark):
 
 def test_profile_of_nothing_and_of_optional_columns(spark):
     df = spark.createDataFrame(
-        [(5.0, "Positive", "a b"), (3.0, "Neutral", "a  B"), (5.0, "Positive", "")],
+        [(5.0, "Positive", "a b"), (3.0, "Neutral", "a  B"), (5.0, "Positive", "")]
+        + [(5.0, "Positive", "a b")],
         "overall double, sentiment string, text string",
     )
     r = profile.profile_report(df).first()
-    assert (r.subset_rows, r.unique_products, r.duplicate_normalized_text_count) == (3, 0, 1)
-    assert r.rating_distribution == {"3.0": 1, "5.0": 2}
-    assert r.sentiment_distribution.asDict() == {"Positive": 2, "Neutral": 1, "Negative": 0}
+    assert (r.subset_rows, r.unique_products) == (4, 0)
+    assert (r.duplicate_normalized_text_count, r.exact_duplicate_count) == (2, 1)
+    assert r.rating_distribution == {"3.0": 1, "5.0": 3}
+    assert r.sentiment_distribution.asDict() == {"Positive": 3, "Neutral": 1, "Negative": 0}
     assert r.reviews_per_user.asDict() == {"mean": 0.0, "median": 0.0, "max": 0}
     empty = profile.profile_report(df.filter(F.lit(False))).first()
     assert (empty.subset_rows, empty.average_rating, empty.outlier_review_count) == (0, 0.0, None)
