@@ -263,7 +263,7 @@ def funnel(spark, sf):
 
 
 @query(f"""{v.with_views(v.LABELED_DOCS)},
-t AS (SELECT *, lang AS "reviewerID", CAST(len({v.split_words_sql('text')}) AS INTEGER) AS words,
+t AS (SELECT * REPLACE (substr(asin, 1, 4) AS asin), lang AS "reviewerID", CAST(len({v.split_words_sql('text')}) AS INTEGER) AS words,
              {v.squeeze_sql('lower(text)')} AS text_norm FROM labeled_docs),
 p AS (SELECT asin, count(*) AS n FROM t GROUP BY asin),
 u AS (SELECT "reviewerID", count(*) AS n FROM t GROUP BY "reviewerID"),
@@ -292,7 +292,9 @@ SELECT count(*) AS subset_rows, count(DISTINCT asin) AS unique_products,
        (SELECT count(*) FROM t, b WHERE words < lower OR words > upper) AS outlier_review_count
 FROM t""")
 def profile_report(spark, sf):
-    labelled = v.labeled_docs(spark, sf).withColumn("reviewerID", F.col("lang"))
+    labelled = v.labeled_docs(spark, sf).withColumns(
+        {"reviewerID": F.col("lang"), "asin": F.substring("asin", 1, 4)}
+    )
     report = profile.profile_report(labelled)
 
     def stars(key: str):
