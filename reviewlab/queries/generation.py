@@ -53,8 +53,8 @@ def summarize_long(spark, sf):
     return summarize(docs, vocabulary, n=None).drop("original_text")
 
 
-def _shouting() -> g.Generator:
-    return lambda text: text.upper()
+def _quoting() -> g.Generator:
+    return lambda text: f"> {text}"
 
 
 def _unavailable() -> g.Generator:
@@ -111,9 +111,10 @@ def generate_errors(spark, sf):
 
 
 @query(f"""{v.with_views(v.DOCS)}
-SELECT review_id, upper(text) AS generated_summary FROM docs WHERE word_len > 100
+SELECT review_id, {v.strip_sql("'> ' || text")} AS generated_summary FROM docs
+WHERE word_len > 100
 ORDER BY review_id LIMIT 10""")
 def generate_summaries(spark, sf):
     """The first ten long texts through a generator that needs no prompt."""
-    out = g.generate_summaries(v.docs(spark, sf), _shouting)
+    out = g.generate_summaries(v.docs(spark, sf), _quoting)
     return out.select("review_id", "generated_summary")
