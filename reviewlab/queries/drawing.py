@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.operators import sampling
 from reviewlab.operators.rowids import with_row_id
+from reviewlab.operators.smote import as_points, class_neighbours, class_sizes
 from reviewlab.operators.smote import smote as oversample
 from reviewlab.queries import views as v
 from reviewlab.queries.registry import query
@@ -162,6 +163,37 @@ def shuffled_head(spark, sf):
     ).select("review_id", (F.col("row_id") + 1).alias("selected"))
 
 
+@query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+pairs AS (SELECT a.vec_id, list_sum(list_transform(list_zip(a.x, b.x),
+            lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+          FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY d) AS INTEGER) AS rank, d
+      FROM pairs)
+SELECT vec_id, rank, round(d, 3) AS squared_distance FROM r WHERE rank <= 5""")
+def nearest_neighbours(spark, sf):
+    """The five nearest rows of the same class of every row."""
+    df = v.table(spark, sf, "embeddings")
+    points = as_points(df, "label", "vec_id", "embedding")
+    near = class_neighbours(points, points, class_sizes(df, "label"), 5, block_rows=16_384)
+    return near.select(
+        F.col("_q").cast("bigint").alias("vec_id"),
+        F.col("_rank").alias("rank"),
+        F.round("_d", 3).alias("squared_distance"),
+    )
+
+
+@query("""WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label)
+SELECT CAST(label AS VARCHAR) AS label, max(n) OVER () AS n, max(n) OVER () - n AS synthetic
+FROM c""")
+def smote_counts(spark, sf):
+    """Rows per class after oversampling, and how many of them are synthetic."""
+    df = v.table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    raised = oversample(df, "label", "vec_id", "embedding", dims=64)
+    return raised.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("synthetic")
+    )
+
+
 @query()
 def smote(spark, sf):
     df = v.table(spark, sf, "embeddings").select("vec_id", "label", "embedding")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.operators import generate as g
 from reviewlab.operators import tfidf
+from reviewlab.operators.sampling import first_n
 from reviewlab.operators.summarize import summarize_long as summarize
 from reviewlab.queries import views as v
 from reviewlab.queries.registry import query
@@ -75,6 +76,14 @@ def _touchy() -> g.Generator:
     return run
 
 
+@query(f"""{v.with_views(v.DOCS)}
+SELECT review_id, word_len AS word_count FROM docs WHERE word_len > 100
+ORDER BY review_id LIMIT 10""")
+def first_long_texts(spark, sf):
+    """The first ten long documents."""
+    return first_n(g.long_texts(v.docs(spark, sf)), 10, "review_id").drop("original_text")
+
+
 @query(f"""{v.with_views(v.URLS)}
 SELECT review_id, url AS original_text,
        'Thank you for your message. Our team will look into your question and get back to you with the details.'

@@ -253,6 +253,32 @@ def compare_models(spark, sf):
     )
 
 
+@query(f"""{v.with_views(v.LABELED_DOCS)}, {_ngram_views('labeled_docs')}
+SELECT p.review_id, p.sentiment, count(g.term) AS terms
+FROM prep p LEFT JOIN grams g ON g.review_id = p.review_id GROUP BY p.review_id, p.sentiment""")
+def join_labels(spark, sf):
+    """Term counts matched to labels by key, with both sides checked for gaps."""
+    prepared = _prepared_labeled(spark, sf)
+    counted = tfidf.row_terms(prepared, "review_id").select(
+        "review_id", F.size("terms").cast("bigint").alias("terms")
+    )
+    return tfidf.join_labels(counted, prepared.select("review_id", "sentiment"), "review_id")
+
+
+@query(f"""{v.with_views(v.REVIEWS)},
+s AS (SELECT CAST(asin AS INTEGER) AS candidate, round(avg(overall), 2) AS mean_test_score
+      FROM reviews GROUP BY asin),
+r AS (SELECT *, CAST(rank() OVER (ORDER BY mean_test_score DESC) AS INTEGER) AS rank_test_score
+      FROM s)
+SELECT * FROM r ORDER BY rank_test_score, candidate LIMIT 10""")
+def rank_candidates(spark, sf):
+    """The ten best by mean score, equal scores sharing a rank."""
+    scores = v.reviews(spark, sf).groupBy(F.col("asin").cast("int").alias("candidate")).agg(
+        F.round(F.avg("overall"), 2).alias("mean_test_score")
+    )
+    return classify.rank_candidates(scores)
+
+
 @query(f"""{v.with_views(v.LABELED_DOCS)}
 SELECT sentiment, count(*) AS n, round((sum(count(*)) OVER ()) * 1.0e0
   / ((count(*) OVER ()) * count(*)), 6) AS weight
