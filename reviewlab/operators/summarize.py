@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from reviewlab.functions.terms import tokens
-from reviewlab.functions.text import _col, normalize_tokens, spaced, squeeze, word_count
+from reviewlab.functions.text import normalize_tokens, spaced, squeeze, word_count
 from reviewlab.operators.generate import _first_or_all, long_texts
 from reviewlab.operators.tfidf import BROADCAST_TERMS
 
