@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlab.llm import bpe, quality_rules, url_filter
+from reviewlab.llm import bpe, line_dedup, quality_model, quality_rules, url_filter
 from reviewlab.llm.common import table
 from reviewlab.session import configure
 
@@ -54,7 +54,7 @@ def op1_bpe(spark, sf):
     )
 
 
-_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
 
 def _rules_sql() -> str:
@@ -70,7 +70,7 @@ def _rules_sql() -> str:
 WITH split AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS} AS words,
     list_filter(string_split(coalesce(text, ''), chr(10)),
-                x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+                lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents),
 places AS (
   SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM split WHERE len(words) >= 3),
@@ -89,9 +89,9 @@ m AS (
     CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     CAST(length(text) - length(regexp_replace(text, '\\p{{L}}+', '', 'g')) AS BIGINT) AS n_letters,
     CAST(len(lines) AS BIGINT) AS n_lines,
-    CAST(len(list_filter(words, w -> lower(w) IN ({stops}))) AS BIGINT) AS n_stop_words,
-    CAST(len(list_filter(lines, x -> x LIKE '%...' OR x LIKE '%…')) AS BIGINT) AS n_ellipsis_lines,
-    CAST(len(list_filter(lines, x -> regexp_matches(x, '^\\s*[-*•]'))) AS BIGINT) AS n_bullet_lines
+    CAST(len(list_filter(words, lambda w: lower(w) IN ({stops}))) AS BIGINT) AS n_stop_words,
+    CAST(len(list_filter(lines, lambda x: x LIKE '%...' OR x LIKE '%…')) AS BIGINT) AS n_ellipsis_lines,
+    CAST(len(list_filter(lines, lambda x: regexp_matches(x, '^\\s*[-*•]'))) AS BIGINT) AS n_bullet_lines
   FROM split s LEFT JOIN covered c ON s.rid = c.rid),
 judged AS (
   SELECT m.*,
@@ -142,3 +142,50 @@ def op10_url_filter(spark, sf):
     """Verdict of the longest rule that fits each address; the method's own is to allow."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.match_rules(table(spark, sf, "pages"), rules)
+
+
+LINES_SQL = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, text,
+    string_split(text, chr(10)) AS parts FROM documents),
+placed AS (
+  SELECT rid, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM split),
+normal AS (
+  SELECT *, trim(regexp_replace(line, '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS norm FROM placed),
+marked AS (
+  SELECT *, norm <> '' AND length(norm) - length(replace(norm, ' ', ''))
+    >= {line_dedup.MIN_WORDS - 1} AS may_go FROM normal),
+shared AS (
+  SELECT norm FROM marked WHERE may_go GROUP BY norm
+  HAVING count(DISTINCT source) >= {line_dedup.MIN_SITES}),
+judged AS (
+  SELECT rid, pos, line, may_go AND norm IN (SELECT norm FROM shared) AS gone FROM marked),
+joined AS (
+  SELECT rid, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept_text,
+    count(*) AS n_lines, count(*) FILTER (gone) AS n_removed
+  FROM judged GROUP BY rid)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  CASE WHEN text IS NOT NULL THEN sha256(coalesce(kept_text, '')) END AS text_sha256
+FROM split LEFT JOIN joined ON split.rid = joined.rid"""
+
+
+@query(LINES_SQL)
+def op4_line_dedup(spark, sf):
+    """Texts without the lines that many sites share."""
+    cleaned = line_dedup.drop_shared_lines(table(spark, sf, "documents"))
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    return cleaned.select("doc_id", "n_lines", "n_removed", digest)
+
+
+@query()
+def op8_quality_model(spark, sf):
+    """Score of every text by trees fitted on the labels that are not held out."""
+    docs = table(spark, sf, "documents")
+    model = quality_model.fit(docs, table(spark, sf, "labels"))
+    scored = quality_model.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        quality_model.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
