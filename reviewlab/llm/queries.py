@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlab.llm import bpe, line_dedup, quality_model, quality_rules, url_filter
+from reviewlab.llm import (
+    bpe,
+    line_dedup,
+    near_dedup,
+    quality_model,
+    quality_rules,
+    url_filter,
+)
 from reviewlab.llm.common import table
 from reviewlab.session import configure
 
@@ -189,3 +196,15 @@ def op8_quality_model(spark, sf):
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query()
+def op9_near_dedup(spark, sf):
+    """Groups of documents whose sets of two-word shingles are 0.8 similar."""
+    found = near_dedup.near_duplicates(table(spark, sf, "documents"), size=2, percent=80)
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
+    )
