@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlab.llm import (
     bpe,
+    decontaminate,
     line_dedup,
     near_dedup,
     quality_model,
@@ -208,3 +209,50 @@ def op9_near_dedup(spark, sf):
         "component_id",
         F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def _terms_sql(name: str) -> str:
+    lowered = f"translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}')"
+    return f"""SELECT *, row_number() OVER () AS rid,
+    regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM {name}"""
+
+
+BENCHMARK_SQL = f"""
+WITH d AS ({_terms_sql("documents")}),
+b AS (
+  SELECT DISTINCT item_id, words, least({decontaminate.WINDOW}, len(words)) AS k
+  FROM ({_terms_sql("benchmark")}) WHERE len(words) > 0),
+bw AS (
+  SELECT DISTINCT item_id, k, array_to_string(words[s:s + k - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(words) - k + 2)) AS s FROM b)),
+dw AS (
+  SELECT rid, s, k, array_to_string(words[s:s + k - 1], ' ') AS gram
+  FROM (SELECT rid, words, k, unnest(range(1, len(words) - k + 2)) AS s
+        FROM d, (SELECT DISTINCT k FROM b) WHERE len(words) >= k)),
+hit AS (SELECT rid, s, k, item_id FROM dw JOIN bw USING (k, gram)),
+covered AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT rid, unnest(range(s, s + k)) AS p FROM hit) GROUP BY rid),
+found AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0
+    AND {decontaminate.MIN_SHARE} * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)"""
+
+
+@query(BENCHMARK_SQL)
+def op7_decontaminate(spark, sf):
+    """Words of each document inside 13-word windows of the benchmark's items."""
+    found = decontaminate.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
