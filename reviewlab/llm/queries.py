@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewlab.llm import (
     bpe,
     decontaminate,
+    licenses,
     line_dedup,
     near_dedup,
     quality_model,
     quality_rules,
+    secrets,
     url_filter,
 )
 from reviewlab.llm.common import table
@@ -256,3 +258,78 @@ def op7_decontaminate(spark, sf):
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
     )
+
+
+def _licenses_sql() -> str:
+    known = ", ".join(f"'{s}'" for s in licenses.SENTENCES.values())
+    names = ", ".join(f"'{n}'" for n in licenses.SENTENCES)
+    hits = ", ".join(
+        f"CASE WHEN contains(line, '{licenses.rule_sequence(r)}') THEN '{r.licence}' END"
+        for r in licenses.RULES
+    )
+    wrapped = licenses.WRAPPED.replace("\\", "\\")
+    return f"""
+WITH cut AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(regexp_replace(regexp_replace(
+    coalesce(text, ''), '{wrapped}', ' \\1', 'g'), '{licenses.ENDED}', '\\1' || chr(10), 'g'),
+    chr(10)) AS pieces
+  FROM documents),
+numbered AS (
+  SELECT rid, doc_id, list_filter(list_transform(
+    list_filter(pieces, lambda s: regexp_matches(s, '{licenses.STEMS}')),
+    lambda s: coalesce(list_position([{known}],
+      trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))), 0)), lambda n: n > 0) AS numbers
+  FROM cut),
+lined AS (
+  SELECT *, ',' || array_to_string(numbers, ',') || ',' AS line FROM numbered)
+SELECT doc_id, CAST(len(numbers) AS BIGINT) AS n_sentences,
+  array_to_string(list_transform(numbers, lambda n: ([{names}])[n]), ',') AS sentences,
+  array_to_string(list_sort(list_distinct(list_filter([{hits}], lambda x: x IS NOT NULL))), ',')
+    AS licences
+FROM lined"""
+
+
+@query(_licenses_sql())
+def op3_licenses(spark, sf):
+    """Known licence sentences of every text, and the licences whose rules match."""
+    found = licenses.scan(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("sentences").cast("bigint").alias("n_sentences"),
+        F.array_join("sentences", ",").alias("sentences"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
+#: Name of the rank file the secret scan counts tokens with.
+SECRET_VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+@query()
+def op6_secrets(spark, sf):
+    """Known shapes and strings that no tokenizer shortens, in every text."""
+    import public_tokenizers
+
+    found = secrets.scan(
+        table(spark, sf, "documents"),
+        vocabulary_path(SECRET_VOCABULARY),
+        public_tokenizers.PATTERN,
+    )
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    def listed(spans):
+        line = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"]))
+        return F.array_join(line, ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        count("random").alias("n_random"),
+    )
