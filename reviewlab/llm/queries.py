@@ -15,6 +15,7 @@ from reviewlab.llm import (
     quality_model,
     quality_rules,
     secrets,
+    suffix_dedup,
     url_filter,
 )
 from reviewlab.llm.common import table
@@ -333,3 +334,16 @@ def op6_secrets(spark, sf):
         listed(F.col("spans")).alias("spans"),
         count("random").alias("n_random"),
     )
+
+
+@query()
+def op5_suffix_dedup(spark, sf):
+    """Bytes of each text outside 400-byte strings that stand anywhere else too."""
+    found = suffix_dedup.remove_repeated(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
