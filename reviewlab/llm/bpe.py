@@ -64,10 +64,13 @@ class WordVocabulary:
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             pair, made = (vocab[left], vocab[right]), vocab[left + right]
-            if made in parts or max(born.get(pair[0], -1), born.get(pair[1], -1)) >= rank:
-                raise ValueError(f"merge {rank} is not in the order of its parts")
             self.rank[pair] = rank
+            if made in parts:
+                raise ValueError(f"merge {rank} makes a token that another one makes")
             born[made], parts[made] = rank, pair
+        for made, pair in parts.items():
+            if max(born.get(p, -1) for p in pair) > born[made]:
+                raise ValueError(f"merge {born[made]} comes before the merges of its parts")
 
         #: Pieces at a token's right and left edge, each with the rank that ends its life.
         self.tails = {t: self._edge(t, parts, born, 1) for t in vocab.values()}

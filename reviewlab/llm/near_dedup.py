@@ -5,8 +5,8 @@ deals a random permutation of the slots, one rank per round, and a slot keeps th
 ``round + fraction`` it is dealt. Ranks of one shingle are correlated, which lowers the
 variance, and a document stops as soon as no later round can lower any slot. Documents with
 one set are one class; one representative per class is banded. Members of a bucket are
-compared with its leader, then what the leader left apart is compared across groups, always
-on the full sets. Links are joined by alternating star contractions, which never gather a
+compared with its leader, then what the leader left apart is compared across groups, in large
+buckets by tiles of bounded size, always on the full sets. Links are joined by alternating star contractions, which never gather a
 component in one place.
 
 Edge cases: a null or blank text has no shingles and stays alone; a null id stays alone with
@@ -21,7 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from reviewlab.llm.common import fields, map_rows, short_batches
 from reviewlab.sources.stages import materialize
@@ -31,6 +32,9 @@ MIN_PERCENT = 80
 #: Two documents at 0.8 miss all bands with a probability of 0.672 ** 32 = 3e-6.
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
+#: Members of a bucket that are compared in pairs when its leader leaves some apart; those of
+#: a larger bucket are compared in tiles of so many queries and members.
+SMALL_BUCKET, TILE = 16, 512
 #: Parts over which the rows of one key are dealt in joins with a table of keys.
 SALTS = 16
 #: Words whose hashes a worker remembers before it starts afresh.
@@ -170,31 +174,31 @@ def salted_join(
     return salted.join(spread, [on, "salt"], how).drop("salt")
 
 
-def verified(
-    pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
-) -> DataFrame:
-    """The pairs ``(u, v)`` whose full sets are similar enough.
-
-    Sets are made for documents in a pair only. A document in very many pairs makes a skewed
-    join, which adaptive execution splits.
-    """
-    spark = docs.sparkSession
-    asked = pairs.select(F.col("u").alias(id_col)).union(pairs.select("v")).distinct()
-    texts = docs.select(id_col, text_col).join(asked, id_col, "left_semi")
-    schema = T.StructType([*fields(docs, id_col), T.StructField("set", T.BinaryType())])
+def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``(id, set)``: the full sets, as 64-bit integers, of the documents in ``ids`` (id)."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = texts.join(ids, "id", "left_semi")
+    schema = T.StructType([*fields(texts, "id"), T.StructField("set", T.BinaryType())])
 
-    def to_sets(batches: Iterator[dict]) -> Iterator[dict]:
+    def work(batches: Iterator[dict]) -> Iterator[dict]:
         for columns in batches:
-            found = columns[text_col].to_pylist()
-            yield {
-                id_col: columns[id_col],
-                "set": [shingle_set(t, size).astype("<u8").tobytes() for t in found],
-            }
+            found = columns["text"].to_pylist()
+            sets = [shingle_set(t, size).astype("<u8").tobytes() for t in found]
+            yield {"id": columns["id"], "set": sets}
+
+    short_batches(docs.sparkSession)
+    return map_rows(texts, work, schema).dropDuplicates(["id"])
+
+
+def _links_schema(kind: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(u, v)`` whose full sets are similar enough.
 
-    short_batches(spark)
-    sets = materialize(map_rows(texts, to_sets, schema).dropDuplicates([id_col]), "sets")
-    kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
+    A document in very many pairs makes a skewed join, which adaptive execution splits.
+    """
 
     def compare(batches: Iterator[dict]) -> Iterator[dict]:
         for columns in batches:
@@ -202,18 +206,17 @@ def verified(
             for a, b in zip(columns["a"].to_pylist(), columns["b"].to_pylist()):
                 x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
                 both = len(x) + len(y)
-                least, most = min(len(x), len(y)), max(len(x), len(y))
-                if 100 * least < percent * most:
+                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                     near.append(False)
                     continue
                 union = len(np.union1d(x, y))
                 near.append(100 * (both - union) >= percent * union)
             yield {c: columns[c].filter(pa.array(near, pa.bool_())) for c in ("u", "v")}
 
-    left = sets.select(F.col(id_col).alias("u"), F.col("set").alias("a"))
-    right = sets.select(F.col(id_col).alias("v"), F.col("set").alias("b"))
+    left = sets.select(F.col("id").alias("u"), F.col("set").alias("a"))
+    right = sets.select(F.col("id").alias("v"), F.col("set").alias("b"))
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
-    return map_rows(both, compare, schema)
+    return map_rows(both, compare, _links_schema(sets.schema["id"].dataType))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -249,25 +252,92 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _remaining_pairs(buckets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of a bucket that its leader did not settle: a member outside the leader's group
-    against every member of another group."""
-    held = buckets.join(groups, "id", "left").withColumn("group", F.coalesce("component", "id"))
-    held = held.select("key", "id", "group", "leader")
-    # The leader's own group in this bucket.
-    own = held.filter("id = leader").select("key", F.col("group").alias("first"))
-    held = salted_join(held, own, "key", "id")
+def _unsettled(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(key, id, leader, n, group, first)`` of the buckets whose members are in several
+    groups; ``first`` is the leader's group."""
+    held = buckets.join(groups, "id", "left")
+    held = held.withColumn("group", F.coalesce("component", "id")).drop("component")
+    own = (
+        held.groupBy("key")
+        .agg(
+            F.min("group").alias("least"),
+            F.max("group").alias("most"),
+            F.min(F.when(F.col("id") == F.col("leader"), F.col("group"))).alias("first"),
+        )
+        .filter("least != most")
+    )
+    return salted_join(held, own.select("key", "first"), "key", "id")
+
+
+def _remaining_pairs(unsettled: DataFrame) -> DataFrame:
+    """Pairs of a small bucket that its leader did not settle: a member outside the leader's
+    group against every member of another group."""
+    held = unsettled.filter((F.col("n") <= SMALL_BUCKET) & (F.col("id") != F.col("leader")))
     apart = held.filter("group != first").select(
         "key", F.col("id").alias("v"), F.col("group").alias("g")
     )
-    members = salted_join(held, apart.select("key").distinct(), "key", "id").filter("id != leader")
-    pairs = members.join(apart, "key").filter(
+    pairs = held.join(apart, "key").filter(
         (F.col("group") != F.col("g"))
         & ((F.col("group") == F.col("first")) | (F.col("id") < F.col("v")))
     )
     return pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct()
 
 
+def _tile_links(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links in large buckets between a member outside the leader's group, the query, and the
+    members of other groups: one per query, group and tile, which is all that groups need.
+
+    Queries and members are dealt to tiles of bounded size; a tile counts common shingles
+    through an index of its members and returns links only.
+    """
+    held = unsettled.filter(F.col("n") > SMALL_BUCKET)
+    apart = F.col("group") != F.col("first")
+    sizes = held.groupBy("key").agg(F.sum(apart.cast("bigint")).alias("s"))
+    held = salted_join(held, sizes, "key", "id").join(sets, "id")
+
+    def blocks(count: str) -> Column:
+        return F.ceil(F.col(count) / TILE)
+
+    def dealt(rows: DataFrame, query: bool) -> DataFrame:
+        own = F.pmod(F.xxhash64("id"), blocks("s" if query else "n"))
+        others = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks("n" if query else "s") - 1))
+        names = ("q", "m") if query else ("m", "q")
+        return rows.select(
+            "key", own.alias(names[0]), others.alias(names[1]), "id", "group", "set"
+        ).select("key", "q", "m", "id", "group", "set", F.lit(query).alias("query"))
+
+    tiles = dealt(held.filter(apart), True).union(dealt(held, False))
+
+    def compare(tile: pa.Table) -> pa.Table:
+        query = tile["query"].to_numpy(zero_copy_only=False)
+        ids, of = tile["id"].to_pylist(), tile["group"].to_pylist()
+        members = np.flatnonzero(~query)
+        found = {i: np.frombuffer(s, "<u8") for i, s in enumerate(tile["set"].to_pylist())}
+        if not len(members) or not query.any():
+            return pa.table({"u": [], "v": []}, schema=arrow)
+        sizes = np.array([len(found[i]) for i in members])
+        owner = np.repeat(np.arange(len(members)), sizes)
+        words = np.concatenate([found[i] for i in members])
+        order = np.argsort(words, kind="stable")
+        words, owner = words[order], owner[order]
+        links = []
+        for q in np.flatnonzero(query):
+            low, high = np.searchsorted(words, found[q]), np.searchsorted(words, found[q], "right")
+            count = high - low
+            at = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count)
+            both = np.bincount(owner[at + np.arange(len(at))], minlength=len(members))
+            near = 100 * both >= percent * (sizes + len(found[q]) - both)
+            linked = {of[members[k]]: ids[members[k]] for k in np.flatnonzero(near)}
+            links += [(ids[q], i) for g, i in linked.items() if g != of[q]]
+        return pa.table(
+            {"u": [min(p) for p in links], "v": [max(p) for p in links]}, schema=arrow
+        )
+
+    schema = _links_schema(sets.schema["id"].dataType)
+    arrow = to_arrow_schema(schema)
+    return tiles.groupBy("key", "q", "m").applyInArrow(compare, schema)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -289,9 +359,9 @@ def near_duplicates(
     banded = heads.select("id", F.explode("bands").alias("key"))
     leaders = (
         banded.groupBy("key")
-        .agg(F.min("id").alias("leader"), F.max("id").alias("last"))
+        .agg(F.min("id").alias("leader"), F.max("id").alias("last"), F.count("*").alias("n"))
         .filter("leader != last")
-        .select("key", "leader")
+        .drop("last")
     )
     buckets = materialize(salted_join(banded, leaders, "key", "id"), "buckets")
     pairs = materialize(
@@ -300,13 +370,16 @@ def near_duplicates(
         .distinct(),
         "pairs",
     )
-    links = materialize(verified(pairs, docs, id_col, text_col, size, percent), "links")
+    asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+    sets = materialize(sets_of(docs, asked, id_col, text_col, size), "sets")
+    links = materialize(verified(pairs, sets, percent), "links")
     groups = materialize(components(links), "groups")
-    rest = materialize(_remaining_pairs(buckets, groups), "remaining-pairs")
-    if not rest.isEmpty():
-        more = verified(rest, docs, id_col, text_col, size, percent)
-        links = materialize(links.union(more), "links")
-        groups = materialize(components(links), "groups")
+    unsettled = materialize(_unsettled(buckets, groups), "unsettled")
+    rest = materialize(_remaining_pairs(unsettled), "pairs")
+    more = verified(rest, sets, percent).union(_tile_links(unsettled, sets, percent))
+    more = materialize(more, "links")
+    if not more.isEmpty():
+        groups = materialize(components(links.union(more)), "groups")
 
     placed = (
         classes.join(groups, "id", "left")
