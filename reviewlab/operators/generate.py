@@ -117,7 +117,7 @@ def _first_or_all(df: DataFrame, n: int | None, what: str) -> DataFrame:
     if n is None:
         return df
     chosen = first_n(df, n, "review_id")
-    found = len(chosen.select("review_id").take(n))
+    found = chosen.count()
     if found == 0:
         raise ValueError(f"no {what} found")
     if found < n:

@@ -19,6 +19,7 @@ import warnings
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from reviewlab.functions.hashing import hash_bucket, seeded_hash
+from reviewlab.operators.joins import salted_join
 from reviewlab.operators.profile import majority_label
 from reviewlab.schema import LABELS, require_columns
 from reviewlab.sources.stages import materialize
@@ -225,7 +226,7 @@ def stratified_subset(
     labels on either side) the rows are drawn without regard to the label.
     """
     if n <= 0:
-        raise ValueError("subset size must be > 0")
+        raise ValueError("a subset needs at least one row")
     require_columns(df, [label, key])
     keyed = _keyed(df, key, F.col(label), seed)
     by_label = _bucket_counts(keyed)
@@ -304,26 +305,6 @@ def stratified_folds(
     return _with_cut_index(df, key, stratum, seed, cuts, "fold")
 
 
-def attach_by_group(df: DataFrame, table: DataFrame, key: str, n: str, hot_share: int = 1000):
-    """Left-join a table with one row per group to the rows of those groups.
-
-    ``table`` knows the rows ``n`` of each group. Groups above a thousandth of all rows
-    number fewer than a thousand, so they are broadcast and their rows stay in place;
-    the remaining rows are shuffled, and no key among them is hot.
-    """
-    total = table.agg(F.sum(n).alias("_total"))
-    sized = table.crossJoin(F.broadcast(total)).withColumn(
-        "_hot", F.col(n) * hot_share > F.col("_total")
-    )
-    hot = sized.filter("_hot").drop("_total", n)
-    calm = sized.filter("not _hot").drop("_total", "_hot", n)
-    marked = df.join(F.broadcast(hot), key, "left")
-    stay = marked.filter("_hot").drop("_hot")
-    added = [c for c in calm.columns if c != key]
-    move = marked.filter("_hot is null").drop("_hot", *added).join(calm, key, "left")
-    return stay.unionByName(move)
-
-
 def group_stratified_split(
     df: DataFrame, group: str, label: str = "sentiment", fraction: float = 0.7, seed: int = 42,
     labels: list[str] = LABELS, drop_null_group: bool = True,
@@ -339,22 +320,19 @@ def group_stratified_split(
         rows = rows.filter(F.col(group).isNotNull())
         table = materialize(majority_label(rows, group, label, labels), "groups")
         assigned = stratified_split(table, group, label, fraction, seed).drop(label)
-        return attach_by_group(rows, assigned, group, "n")
+        return salted_join(rows, assigned.drop("n"), group)
     named = rows.withColumn(
         "_group", F.concat_ws(":", F.lit("g"), F.col(group).cast("string"))
     )
     table = materialize(majority_label(named, "_group", label, labels), "groups")
     assigned = stratified_split(table, "_group", label, fraction, seed).drop(label)
-    return attach_by_group(named, assigned, "_group", "n").drop("_group")
+    return salted_join(named, assigned.drop("n"), "_group").drop("_group")
 
 
 def split_by_keys(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows whose key is in ``keys``, and the others (a null key is in neither table)."""
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = per_key.join(distinct_keys(keys, key), key, "left_semi").withColumn(
-        "_selected", F.lit(True)
-    )
-    marked = attach_by_group(df, wanted, key, "_n")
+    wanted = distinct_keys(keys, key).withColumn("_selected", F.lit(True))
+    marked = salted_join(df, wanted, key)
     inside = marked.filter("_selected").drop("_selected")
     return inside, marked.filter("_selected is null").drop("_selected")
 
@@ -410,7 +388,7 @@ def split_leakage(df: DataFrame, keys: list[str], split: str = "split") -> DataF
 def warn_on_leakage(report: DataFrame) -> None:
     """Warn for each key column that both sides share. Collects one row per column."""
     for row in report.filter("shared_keys > 0").collect():
-        warnings.warn(f"{row.shared_keys} {row.key_name} values appear in both train and test.")
+        warnings.warn(f"train and test share {row.shared_keys} values of {row.key_name}")
 
 
 # --- order -------------------------------------------------------------------------------

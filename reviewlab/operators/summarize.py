@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from reviewlab.functions.terms import tokens
 from reviewlab.functions.text import normalize_tokens, spaced, squeeze, word_count
 from reviewlab.operators.generate import _first_or_all, long_texts
+from reviewlab.operators.joins import lookup_join
 from reviewlab.operators.tfidf import BROADCAST_TERMS
+from reviewlab.sources.stages import materialize
 
 #: Enough for any sum order to round alike when sentences tie.
 SCORE_DIGITS = 6
@@ -26,18 +28,15 @@ def sentences(text: Column | str) -> Column:
 def summarize_long(
     df: DataFrame, vocabulary: DataFrame, n: int | None = 10, min_words: int = 100,
     target_words: int = 50, row_id: str = "review_id", text: str = "text",
-    max_features: int = 20_000,
 ) -> DataFrame:
     """``(review_id, original_text, word_count, generated_summary)`` for the first ``n`` long
     texts, or all of them with ``n=None``.
 
-    ``vocabulary`` has ``(term, idf)`` of single words, at most ``max_features``. The best sentence always stays;
+    ``vocabulary`` has ``(term, idf)`` of single words. The best sentence always stays;
     further ones, best first, are kept while the running word count fits.
     """
     chosen = _first_or_all(long_texts(df, min_words, row_id, text), n, "long texts")
-    vocab = vocabulary.select("term", "idf")
-    if max_features <= BROADCAST_TERMS:
-        vocab = F.broadcast(vocab)
+    vocab = materialize(vocabulary.select("term", "idf"), "vocabulary")
     # One shuffle by text id; every group below is inside one text, so the planner
     # reuses this partitioning throughout.
     split = (
@@ -47,7 +46,7 @@ def summarize_long(
         .filter("sentence is not null")
         .withColumn("n_words", word_count("sentence"))
     )
-    used = (
+    counted = (
         split.select(
             "review_id",
             "pos",
@@ -57,8 +56,8 @@ def summarize_long(
         .groupBy("review_id", "pos", "term")
         .agg(F.count(F.lit(1)).alias("times"))
         .withColumn("tf", F.sum("times").over(Window.partitionBy("review_id", "term")))
-        .join(vocab, "term", "left")
     )
+    used = lookup_join(counted, vocab, "term", BROADCAST_TERMS)
     weight = F.coalesce((1.0 + F.log("tf")) * F.col("idf"), F.lit(0.0))
     scores = used.groupBy("review_id", "pos").agg(
         F.round(F.sum(F.col("times") * weight) / F.sum("times"), SCORE_DIGITS).alias("score")

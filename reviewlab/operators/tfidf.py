@@ -7,12 +7,14 @@ cheap as rare ones) and one row-keyed regrouping of the vocabulary terms.
 
 from __future__ import annotations
 
-from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from reviewlab.functions.terms import count_terms, let, ngrams, tokens
 from reviewlab.functions.text import has_tokens, normalize_tokens
+from reviewlab.operators.joins import lookup_join
+from reviewlab.operators.rowids import with_row_id
 from reviewlab.schema import LABELS, require_columns
+from reviewlab.sources.stages import materialize
 
 #: Largest vocabulary that is sent to every executor (about 100 bytes a term).
 BROADCAST_TERMS = 1_000_000
@@ -59,15 +61,15 @@ def _bound(limit: int | float) -> Column:
 
 def fit_vocabulary(
     terms: DataFrame, min_df: int | float = 2, max_df: int | float = 0.95,
-    max_features: int = 20_000,
+    max_features: int | None = 20_000,
 ) -> DataFrame:
     """``(term, term_id, df, cf, idf)`` from the output of ``row_terms``.
 
     Keeps terms within the document-frequency bounds; of those the ``max_features``
-    with the highest corpus frequency, equal ones in term order; ids are alphabetical.
-    ``idf = ln((1 + N) / (1 + df)) + 1``.
+    with the highest corpus frequency, equal ones in term order, or all with ``None``; ids
+    are alphabetical. ``idf = ln((1 + N) / (1 + df)) + 1``.
     """
-    if max_features < 1:
+    if max_features is not None and max_features < 1:
         raise ValueError("max_features must be positive")
     n_docs = terms.agg(F.count(F.lit(1)).alias("n_docs"))
     counted = (
@@ -77,11 +79,15 @@ def fit_vocabulary(
         .crossJoin(F.broadcast(n_docs))
         .filter((F.col("df") >= _bound(min_df)) & (F.col("df") <= _bound(max_df)))
     )
-    kept = counted.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
-    # At most max_features rows are numbered here.
-    return kept.select(
+    if max_features is None:
+        numbered = with_row_id(counted, ["term"], "term_id")
+    else:
+        # At most max_features rows are numbered here.
+        kept = counted.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
+        numbered = kept.withColumn("term_id", F.row_number().over(Window.orderBy("term")) - 1)
+    return numbered.select(
         "term",
-        (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("term_id"),
+        F.col("term_id").cast("int"),
         "df",
         "cf",
         (F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"),
@@ -89,26 +95,22 @@ def fit_vocabulary(
 
 
 def tfidf_rows(
-    terms: DataFrame, vocabulary: DataFrame, row_id: str = "row_id", max_features: int = 20_000
+    terms: DataFrame, vocabulary: DataFrame, row_id: str = "row_id"
 ) -> DataFrame:
     """``(row_id, entries array<struct<term_id, term, weight>>)``, entries in id order.
 
     Weight ``(1 + ln tf) * idf``, scaled so a row has unit length. Terms outside the
     vocabulary are dropped; a row left without terms stays, with no entries.
     """
-    vocab = vocabulary.select("term", "term_id", "idf")
-    if max_features <= BROADCAST_TERMS:
-        vocab = F.broadcast(vocab)
-    weighted = (
-        terms.select(row_id, F.inline_outer("terms"))
-        .join(vocab, "term", "left")
-        .select(
-            row_id,
-            F.when(
-                F.col("term_id").isNotNull(),
-                F.struct("term_id", "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("raw")),
-            ).alias("entry"),
-        )
+    # Written once: its size decides how it is joined, whatever it was limited to.
+    vocab = materialize(vocabulary.select("term", "term_id", "idf"), "vocabulary")
+    counted = terms.select(row_id, F.inline_outer("terms"))
+    weighted = lookup_join(counted, vocab, "term", BROADCAST_TERMS).select(
+        row_id,
+        F.when(
+            F.col("term_id").isNotNull(),
+            F.struct("term_id", "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("raw")),
+        ).alias("entry"),
     )
     # A row's terms sit next to each other, so one array per row is what is shuffled.
     grouped = weighted.groupBy(row_id).agg(F.sort_array(F.collect_list("entry")).alias("raw"))
@@ -144,38 +146,29 @@ def vector_struct(indices: Column, values: Column, size: int | Column) -> Column
     )
 
 
-def as_vector(stored: Column) -> Column:
-    """The stored form of a vector as a vector column, without a Python worker."""
-    schema = T.StructType([T.StructField("v", VectorUDT())])
-    return F.from_json(F.to_json(F.struct(stored.alias("v"))), schema)["v"]
-
-
 def tfidf_vectors(rows: DataFrame, size: int, row_id: str = "row_id") -> DataFrame:
-    """``(row_id, features)`` as sparse vectors of length ``size``."""
+    """``(row_id, features)`` as sparse vectors of length ``size``, written once: vectors are
+    stored as structs, and read back as vectors."""
     entries = F.col("entries")
-    return rows.select(
-        row_id,
-        as_vector(vector_struct(entries["term_id"], entries["weight"], size)).alias("features"),
-    )
+    stored = vector_struct(entries["term_id"], entries["weight"], size)
+    return materialize(rows.select(row_id, stored.alias("features")), "features", ["features"])
 
 
 def join_labels(features: DataFrame, labels: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """Match features to labels by key; raise when either side has rows the other lacks."""
-    gaps = (
-        features.select(row_id, F.lit(1).alias("f"))
-        .join(labels.select(row_id, F.lit(1).alias("l")), row_id, "full")
-        .agg(
-            F.count_if(F.col("l").isNull()).alias("unlabelled"),
-            F.count_if(F.col("f").isNull()).alias("featureless"),
-        )
-        .first()
+    """Match features to labels by key; running the plan raises when either side has a row the
+    other lacks."""
+    both = features.withColumn("_f", F.lit(True)).join(
+        labels.withColumn("_l", F.lit(True)), row_id, "full"
+    )
+    lone = F.concat(
+        F.lit("no match for row "),
+        F.coalesce(F.col(row_id).cast("string"), F.lit("null")),
+        F.when(F.col("_l").isNull(), ": features only").otherwise(": label only"),
+    )
+    matched = F.when(F.col("_f") & F.col("_l"), F.lit(True)).otherwise(
+        F.raise_error(lone).cast("boolean")
     )
-    if gaps.unlabelled or gaps.featureless:
-        raise ValueError(
-            f"row mismatch: {gaps.unlabelled} rows without label, "
-            f"{gaps.featureless} without features"
-        )
-    return features.join(labels, row_id)
+    return both.filter(matched).drop("_f", "_l")
 
 
 def vocabulary_table(vocabulary: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def build_features(
     write_table(vocabulary, f"{out_dir}/vocabulary")
     vocabulary = read_stage(spark, f"{out_dir}/vocabulary")
     terms = tfidf.row_terms(prepared, "review_id", ngram=ngram)
-    rows = tfidf.tfidf_rows(terms, vocabulary, "review_id", max_features)
+    rows = tfidf.tfidf_rows(terms, vocabulary, "review_id")
     vectors = tfidf.tfidf_vectors(rows, vocabulary.count(), "review_id")
     labels = prepared.select(
         *[c for c in ["review_id", "sentiment", "asin", "reviewerID"] if c in prepared.columns]
@@ -153,13 +153,13 @@ def train_classifier(
 
 def compare_on_sample(
     sample: DataFrame, vocabulary: DataFrame, models: dict, out_dir: str,
-    max_features: int = 20_000, ngram: tuple[int, int] = (1, 2),
+    ngram: tuple[int, int] = (1, 2),
 ) -> DataFrame:
     """All models on one test table: the lexicon labels it carries, and trained models by
     name (``None`` where missing). Scoring normalises the text as training did."""
     prepared = tfidf.prepare_text(sample, label=None)
     terms = tfidf.row_terms(prepared, "review_id", ngram=ngram)
-    rows = tfidf.tfidf_rows(terms, vocabulary, "review_id", max_features)
+    rows = tfidf.tfidf_rows(terms, vocabulary, "review_id")
     # Rows whose text normalises to nothing are scored as well: as an empty vector.
     missing = sample.join(prepared.select("review_id"), "review_id", "left_anti").select(
         "review_id", F.array().cast(rows.schema["entries"].dataType).alias("entries")

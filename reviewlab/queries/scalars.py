@@ -241,10 +241,11 @@ def long_texts(spark, sf):
 _ASKING_SQL = """asking AS (
   SELECT 'd' || CAST(review_id AS VARCHAR) AS review_id, text FROM docs
   UNION ALL
-  SELECT 'p' || CAST(review_id AS VARCHAR),
-         CASE review_id % 5 WHEN 0 THEN url WHEN 1 THEN 'Well, CAN I ' || url
+  SELECT 'p' || CAST(review_id AS VARCHAR) || '-' || CAST(k AS VARCHAR),
+         CASE k WHEN 0 THEN url WHEN 1 THEN 'Well, CAN I ' || url
               WHEN 2 THEN 'cani ' || replace(url, '?', ' ') WHEN 3 THEN ' ok? '
-              ELSE 'thi' || chr(233) || 's is this' || chr(233) END FROM urls)"""
+              ELSE 'thi' || chr(233) || 's is this' || chr(233) END
+  FROM urls, (SELECT unnest(range(5)) AS k))"""
 
 
 @query(f"""{v.with_views(v.DOCS, v.URLS, _ASKING_SQL)}
@@ -256,16 +257,16 @@ WHERE regexp_matches(lower(text), '\\?|(^|[^\\p{{L}}\\p{{N}}_])(does this|is thi
 def detect_questions(spark, sf):
     i = F.col("review_id").cast("string")
     documents = v.docs(spark, sf).select(F.concat(F.lit("d"), i).alias("review_id"), "text")
-    kind = F.col("review_id") % 5
-    pages = v.urls(spark, sf).select(
-        F.concat(F.lit("p"), i).alias("review_id"),
-        F.when(kind == 0, F.col("url"))
-        .when(kind == 1, F.concat(F.lit("Well, CAN I "), F.col("url")))
-        .when(kind == 2, F.concat(F.lit("cani "), F.replace("url", F.lit("?"), F.lit(" "))))
-        .when(kind == 3, F.lit(" ok? "))
-        .otherwise(F.lit("thi\u00e9s is this\u00e9"))
-        .alias("text"),
+    # Every address as it is, and the edge rows made from it.
+    asked = F.array(
+        F.col("url"),
+        F.concat(F.lit("Well, CAN I "), F.col("url")),
+        F.concat(F.lit("cani "), F.replace("url", F.lit("?"), F.lit(" "))),
+        F.lit(" ok? "),
+        F.lit("thi\u00e9s is this\u00e9"),
     )
+    pages = v.urls(spark, sf).select("review_id", F.posexplode(asked).alias("k", "text"))
+    pages = pages.select(F.concat(F.lit("p"), i, F.lit("-"), F.col("k")).alias("review_id"), "text")
     return question_texts(documents.unionByName(pages))
 
 
@@ -289,11 +290,13 @@ def build_prompts(spark, sf):
     )
 
 
-# Generator-like output made from each document: markers in front, repeated or absent.
+# Generator-like output made from each document: markers in front, repeated or absent; and,
+# numbered below 0, an output that is too short without its marker.
 _OUTPUT_SQL = """outputs AS (SELECT review_id, text, CASE review_id % 6
     WHEN 0 THEN 'Summary: ' || text WHEN 1 THEN 'Review: r1 Review: Summary: ' || text
-    WHEN 2 THEN 'Summary: ok' WHEN 3 THEN 'Soft. Summary: ' || text
-    WHEN 4 THEN 'Review: ' || text || ' Summary: ' || text ELSE ' ' || text END AS raw FROM docs)"""
+    WHEN 3 THEN 'Soft. Summary: ' || text
+    WHEN 4 THEN 'Review: ' || text || ' Summary: ' || text ELSE ' ' || text END AS raw FROM docs
+    UNION ALL SELECT -1 - review_id, text, 'Summary: ok' FROM docs)"""
 
 
 def _tail_sql(x: str, marker: str) -> str:
@@ -328,16 +331,18 @@ def clean_generated(spark, sf):
     raw = (
         F.when(kind == 0, F.concat(F.lit("Summary: "), text))
         .when(kind == 1, F.concat(F.lit("Review: r1 Review: Summary: "), text))
-        .when(kind == 2, F.lit("Summary: ok"))
         .when(kind == 3, F.concat(F.lit("Soft. Summary: "), text))
         .when(kind == 4, F.concat(F.lit("Review: "), text, F.lit(" Summary: "), text))
         .otherwise(F.concat(F.lit(" "), text))
     )
     prompt = build_prompt("text", SUMMARY_PROMPT)
     echoed = F.concat(prompt, F.lit("\n"), text)
-    return v.docs(spark, sf).select(
+    docs = v.docs(spark, sf).select("review_id", "text")
+    short = docs.select(-1 - F.col("review_id"), "text", F.lit("Summary: ok"))
+    outputs = docs.withColumn("raw", raw).union(short)
+    return outputs.select(
         "review_id",
-        cleaned_output(raw).alias("cleaned"),
+        cleaned_output(F.col("raw")).alias("cleaned"),
         strip_echo(echoed, prompt).alias("completion"),
     )
 

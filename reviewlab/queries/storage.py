@@ -128,10 +128,10 @@ def features_roundtrip(spark, sf):
     terms = tfidf.row_terms(
         tfidf.prepare_text(v.docs(spark, sf), label=None), "review_id", ngram=(1, 1)
     )
-    vocabulary = tfidf.fit_vocabulary(terms, max_features=1_000_000)
-    rows = tfidf.tfidf_rows(terms, vocabulary, "review_id", 1_000_000)
+    vocabulary = stages.materialize(tfidf.fit_vocabulary(terms, max_features=None), "vocabulary")
+    rows = tfidf.tfidf_rows(terms, vocabulary, "review_id")
     path = _folder(spark, "features")
-    stages.write_features(tfidf.tfidf_vectors(rows, 1_000_000, "review_id"), path)
+    stages.write_features(tfidf.tfidf_vectors(rows, vocabulary.count(), "review_id"), path)
     return _indices(stages.read_features(spark, path))
 
 

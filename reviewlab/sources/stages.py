@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -44,13 +45,23 @@ def read_stage(
     return reader.format(fmt).load(path)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", vectors: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back, which cuts its lineage
-    and survives the loss of executors."""
+    and survives the loss of executors. The columns in ``vectors`` hold the structs vectors
+    are stored as, and come back as vectors."""
     spark = df.sparkSession
     path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(_with_vectors(df.schema, vectors)).parquet(path)
+
+
+def _with_vectors(schema: T.StructType, vectors: Sequence[str]) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(f.name, VectorUDT() if f.name in vectors else f.dataType, f.nullable)
+            for f in schema.fields
+        ]
+    )
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
@@ -94,8 +105,4 @@ def write_features(df: DataFrame, path: str, row_id: str = "row_id") -> None:
 def read_features(spark: SparkSession, path: str, features: str = "features") -> DataFrame:
     """Read features; a vector written as its plain struct comes back as a vector."""
     stored = spark.read.parquet(path).schema
-    fields = [
-        T.StructField(f.name, VectorUDT() if f.name == features else f.dataType, f.nullable)
-        for f in stored.fields
-    ]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    return spark.read.schema(_with_vectors(stored, [features])).parquet(path)

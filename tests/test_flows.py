@@ -48,7 +48,7 @@ def test_flows(spark, raw, tmp_path):
     sample = spark.read.parquet(f"{out}/lexicon/sample")
     vocabulary = spark.read.parquet(f"{out}/two/vocabulary")
     compared = flows.compare_on_sample(
-        sample, vocabulary, {**models, "none": None}, f"{out}/compare", 200, (1, 1)
+        sample, vocabulary, {**models, "none": None}, f"{out}/compare", (1, 1)
     ).collect()
     assert {r.model for r in compared} == {
         "compound_pred", "polarity_pred", "logreg", "svm", "none",

@@ -119,3 +119,19 @@ def test_summary_and_text(spark, tmp_path):
     stages.write_text(texts, str(tmp_path / "t"), ["q", "r"], ["Q", "R"])
     written = "".join(p.read_text() for p in (tmp_path / "t").glob("part-*.txt"))
     assert written.rstrip("\n") == "=== Q ===\n\nq\n\n=== R ===\n\nr"
+
+
+def test_scratch_folder_is_shared_or_an_error():
+    from types import SimpleNamespace
+
+    from reviewlab.session import scratch_root
+
+    def session(master, root=None):
+        conf = SimpleNamespace(get=lambda key, default: root)
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_root(session(master))
+    assert scratch_root(session("yarn", "hdfs:///scratch")) == "hdfs:///scratch"

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlab.operators import sampling
+from reviewlab.operators.joins import lookup_join, salted_join
 from reviewlab.operators.rowids import with_row_id
 
 
@@ -117,18 +118,41 @@ def test_leakage(spark):
     right = spark.createDataFrame([("b",), ("b",), ("c",), (None,)], "u string")
     report = sampling.leakage_report(left, right, ["u"])
     assert tuple(report.first()) == ("u", 2, 2, 1)
-    with pytest.warns(UserWarning, match="1 u values"):
+    with pytest.warns(UserWarning, match="share 1 values of u"):
         sampling.warn_on_leakage(report)
     assert [r.u for r in sampling.shared_keys(left, right, "u").collect()] == ["b"]
     inside, outside = sampling.split_by_keys(right, left, "u")
     assert (inside.count(), outside.count()) == (2, 2)
 
 
-def test_attach_by_group_is_a_left_join(spark):
-    rows = spark.createDataFrame([(i, i % 5) for i in range(50)], "id int, g int")
-    table = spark.createDataFrame([(0, 10, "x"), (1, 10, "y"), (2, 9000, "z")], "g int, n int, s string")
-    got = {(r.id, r.s) for r in sampling.attach_by_group(rows, table, "g", "n").collect()}
-    assert got == {(i, {0: "x", 1: "y", 2: "z"}.get(i % 5)) for i in range(50)}
+@pytest.mark.parametrize("hot", [None, 4])
+def test_joins_hold_for_a_hot_unselected_key(spark, hot):
+    """Nine rows in ten share a key that is not in the table, or have none."""
+    rows = [(i, i % 3 if i % 10 == 0 else hot) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, g int").repartition(3)
+    table = spark.createDataFrame([(0, "x"), (1, "y"), (9, "z")], "g int, s string")
+    joined = salted_join(df, table, "g")
+    assert {(r.id, r.s) for r in joined.collect()} == {
+        (i, {0: "x", 1: "y"}.get(g)) for i, g in rows
+    }
+    # No task of the join gets more than a fair share of the hot key's rows.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dealt = salted_join(df, table.hint("merge"), "g").groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in dealt.collect()) < 1300
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    inside, outside = sampling.split_by_keys(df, table, "g")
+    assert {r.id for r in inside.collect()} == {i for i, g in rows if g in (0, 1)}
+    assert {r.id for r in outside.collect()} == {i for i, g in rows if g not in (0, 1)}
+
+
+@pytest.mark.parametrize("small", [0, 100])
+def test_lookup_joins_agree(spark, small):
+    df = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(40)], "id int, w string")
+    table = spark.createDataFrame([("a", 1.0), ("c", 2.0)], "w string, x double")
+    got = lookup_join(df, table, "w", small).collect()
+    assert {(r.id, r.x) for r in got} == {(i, 1.0 if i % 3 else None) for i in range(40)}
 
 
 def test_order(spark):

@@ -57,8 +57,10 @@ def test_join_labels_checks_both_sides(spark):
     left = spark.createDataFrame([(1, 0.1), (2, 0.2)], "row_id int, f double")
     right = spark.createDataFrame([(1, "a"), (2, "b")], "row_id int, l string")
     assert tfidf.join_labels(left, right).count() == 2
-    with pytest.raises(ValueError, match="1 rows without label"):
-        tfidf.join_labels(left, right.filter("row_id = 1"))
+    with pytest.raises(Exception, match="no match for row 2: features only"):
+        tfidf.join_labels(left, right.filter("row_id = 1")).collect()
+    with pytest.raises(Exception, match="no match for row 1: label only"):
+        tfidf.join_labels(left.filter("row_id = 2"), right).collect()
 
 
 WORDS = [("good", 2.0), ("bad", -2.0), (":)", 1.0)]
