@@ -115,10 +115,10 @@ class PairwiseLinearSVC(
     """Linear support vector machines for every pair of classes, deciding by vote."""
 
     @keyword_only
-    def __init__(self, *, C=1.0, classWeight="none", maxIter=100, featuresCol="features",
+    def __init__(self, *, C=1.0, classWeight="none", maxIter=1000, featuresCol="features",
                  labelCol="label", predictionCol="prediction"):
         super().__init__()
-        self._setDefault(C=1.0, classWeight="none", maxIter=100)
+        self._setDefault(C=1.0, classWeight="none", maxIter=1000)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "PairwiseLinearSVCModel":
@@ -279,12 +279,22 @@ def cv_results(
 
 
 def rank_candidates(scores: DataFrame, top: int | None = 10) -> DataFrame:
-    """Rank by mean score, equal scores sharing the best rank; the ``top`` first."""
-    ranked = scores.withColumn(
-        "rank_test_score", F.rank().over(Window.orderBy(F.desc("mean_test_score")))
-    )
-    ordered = ranked.orderBy("rank_test_score", "candidate")
-    return ordered.limit(top) if top else ordered
+    """Rank by mean score, equal scores sharing the best rank; the ``top`` first.
+
+    A rank is one more than the rows with a higher score, so the first rows need no others;
+    without ``top`` only the counts of the distinct scores are added up in one place.
+    """
+    best = Window.orderBy(F.desc("mean_test_score"))
+    if top:
+        first = scores.orderBy(F.desc("mean_test_score"), "candidate").limit(top)
+        ranked = first.withColumn("rank_test_score", F.rank().over(best))
+    else:
+        above = F.sum("n").over(best.rowsBetween(Window.unboundedPreceding, -1))
+        ranks = scores.groupBy("mean_test_score").agg(F.count(F.lit(1)).alias("n")).select(
+            "mean_test_score", (F.coalesce(above, F.lit(0)) + 1).cast("int").alias("rank_test_score")
+        )
+        ranked = scores.join(ranks, "mean_test_score")
+    return ranked.orderBy("rank_test_score", "candidate")
 
 
 def predict(df: DataFrame, model: Model, row_id: str = "row_id", label: str = "label") -> DataFrame:
@@ -302,23 +312,26 @@ def evaluate_models(
 ) -> tuple[DataFrame, DataFrame]:
     """Metrics per model and confusion matrices on one test table.
 
-    ``models`` maps a name to its ``(row_id, y_pred)`` table. A model given as ``None`` was
-    not available: its metrics row carries an error and it has no confusion matrix.
+    ``models`` maps a name to its ``(row_id, y_pred)`` table. A row a model has no prediction
+    for counts as wrong, and ``unmatched`` says how many these are. A model given as ``None``
+    was not available: its metrics row carries an error and it has no confusion matrix.
     """
     spark = df.sparkSession
     ready = {name: table for name, table in models.items() if table is not None}
     tables = [
         df.select(row_id, F.col(label).alias("y_true"))
-        .join(table.select(row_id, "y_pred"), row_id)
+        .join(table.select(row_id, "y_pred"), row_id, "left")
         .withColumn("model", F.lit(name))
         for name, table in ready.items()
     ]
     both = tables[0]
     for table in tables[1:]:
         both = both.unionByName(table)
-    metrics = classification_metrics(both, by=["model"]).withColumn(
-        "error", F.lit(None).cast("string")
+    gaps = both.groupBy("model").agg(
+        F.count_if(F.col("y_pred").isNull()).alias("unmatched"),
     )
+    metrics = classification_metrics(both, by=["model"]).join(F.broadcast(gaps), "model")
+    metrics = metrics.withColumn("error", F.lit(None).cast("string"))
     absent = [(name, "model not found") for name, table in models.items() if table is None]
     if absent:
         missing = spark.createDataFrame(absent, "model string, error string")

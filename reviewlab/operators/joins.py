@@ -18,20 +18,21 @@ def _salt(df: DataFrame, salts: int) -> Column:
 
 
 def salted_join(
-    rows: DataFrame, table: DataFrame, key: str, how: str = "left", salts: int = SALTS
+    rows: DataFrame, table: DataFrame, key: str | list[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
-    """Join ``rows`` with a table that has one row per key.
+    """Join ``rows`` with a table that has one row, or a few, per key.
 
     The rows of a key, and those without one, are dealt to ``salts`` parts and the table is
     repeated for each, so no task gets all rows of a hot key.
     """
     parts = F.array(*[F.lit(i) for i in range(salts)])
     dealt = rows.withColumn("_salt", _salt(rows, salts))
-    return dealt.join(table.withColumn("_salt", F.explode(parts)), [key, "_salt"], how).drop("_salt")
+    on = [key] if isinstance(key, str) else key
+    return dealt.join(table.withColumn("_salt", F.explode(parts)), [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
-    rows: DataFrame, table: DataFrame, key: str, max_rows: int, how: str = "left"
+    rows: DataFrame, table: DataFrame, key: str | list[str], max_rows: int, how: str = "left"
 ) -> DataFrame:
     """As ``salted_join``; a table counted to have at most ``max_rows`` rows is broadcast."""
     small = broadcast_if_small(table, max_rows)

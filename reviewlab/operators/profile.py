@@ -193,8 +193,13 @@ def seasonality(df: DataFrame, seconds: str = "unixReviewTime") -> DataFrame:
 
 
 def _row_digest(df: DataFrame, keys: list[str]) -> Column:
-    """Digest of several columns; the JSON form keeps nulls and field ends apart."""
-    return F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
+    """Digest of several columns; each value goes with its length, which keeps field ends
+    and nulls apart."""
+    values = [F.col(k).cast("string") for k in keys]
+    parts = [
+        F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in values
+    ]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def _repeats(digests: DataFrame) -> DataFrame:
@@ -387,8 +392,18 @@ def profile_report(df: DataFrame, k: float = 1.5, digits: int = 4) -> DataFrame:
         ).alias("outlier_thresholds_iqr"),
         F.col("outliers").alias("outlier_review_count"),
     )
-    # Two single rows; an empty table has no bounds row but still reports.
-    return report.join(F.broadcast(outside), F.lit(True), "left")
+    # Two single rows; an empty table has no bounds row and reports zeros.
+    joined = report.join(F.broadcast(outside), F.lit(True), "left")
+    zero = F.lit(0.0)
+    bounds_of = F.col("outlier_thresholds_iqr")
+    return joined.withColumns(
+        {
+            "outlier_thresholds_iqr": F.struct(
+                *[F.coalesce(bounds_of[e], zero).alias(e) for e in ("lower", "upper")]
+            ),
+            "outlier_review_count": F.coalesce("outlier_review_count", F.lit(0)),
+        }
+    )
 
 
 def label_distribution(df: DataFrame, label: str = "sentiment") -> DataFrame:

@@ -3,13 +3,13 @@
 Every operator here ranks rows by a seeded hash of their unique key inside a
 stratum and cuts the ranking at exact positions. The ranking is never built:
 counting rows per hash bucket locates the bucket of each cut, only that bucket's
-keys (1 in 16,384) are ordered, and the selection itself is a comparison with a
-few broadcast ``(hash, key)`` cut points. Wide rows are filtered where they are
+keys (1 in 16,384) are ordered, and the selection itself is a comparison with the
+``(hash, key)`` cut points of the row's stratum. Wide rows are filtered where they are
 read; a stratum with most of the rows is no different from the others.
 
-Rows whose stratum is null belong to no stratum and are not drawn. Strata are the
-labels of a domain: the plan itself fails beyond ``MAX_STRATA`` of them, which bounds
-everything that is broadcast here.
+Rows whose stratum is null belong to no stratum and are not drawn. There may be any number
+of strata: the cut points, one or a few per stratum, are written once and their count decides
+whether they are sent to every task or joined by salted keys.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ import warnings
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from reviewlab.functions.hashing import hash_bucket, seeded_hash
-from reviewlab.operators.joins import salted_join
+from reviewlab.operators.joins import lookup_join, salted_join
 from reviewlab.operators.profile import majority_label
+from reviewlab.operators.rowids import with_row_id
 from reviewlab.schema import LABELS, require_columns
 from reviewlab.sources.stages import materialize
 
 _ALL = "*"
-MAX_STRATA = 1000
+#: Cut points sent to every task, and strata ranked in one.
+SMALL_STRATA = 100_000
 
 
 def _keyed(df: DataFrame, key: str, stratum: Column, seed: int) -> DataFrame:
@@ -37,21 +39,36 @@ def _keyed(df: DataFrame, key: str, stratum: Column, seed: int) -> DataFrame:
 
 
 def _bucket_counts(keyed: DataFrame) -> DataFrame:
-    """``(_stratum, _bucket, _n)`` in one partition: at most 2^14 rows per stratum, so the
-    counting of quotas and positions that follows needs no further exchange."""
-    return (
+    """``(_stratum, _bucket, _n)``: at most 2^14 rows per stratum, written once because
+    quotas and positions are both counted from it."""
+    counts = (
         keyed.select("_stratum", hash_bucket("_h").alias("_bucket"))
         .groupBy("_stratum", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .repartition(1)
     )
+    return materialize(counts, "buckets")
 
 
 def _stratum_counts(buckets: DataFrame) -> DataFrame:
-    counts = buckets.groupBy("_stratum").agg(F.sum("_n").alias("_rows"))
-    too_many = F.count(F.lit(1)).over(Window.partitionBy()) > MAX_STRATA
-    problem = F.raise_error(F.lit(f"more than {MAX_STRATA} strata")).cast("bigint")
-    return counts.withColumn("_rows", F.when(too_many, problem).otherwise(F.col("_rows")))
+    return buckets.groupBy("_stratum").agg(F.sum("_n").alias("_rows"))
+
+
+def _with_sum(df: DataFrame, col: str, name: str) -> DataFrame:
+    """Add the sum of ``col`` over all rows: one row, joined to each."""
+    return df.crossJoin(F.broadcast(df.agg(F.sum(col).alias(name))))
+
+
+def _with_place(df: DataFrame, order: list[tuple[str, bool]]) -> DataFrame:
+    """Add ``_place``, 1 for the first row by ``order`` (column, descending). Few strata are
+    ranked in one task, many by a distributed sort."""
+    df = materialize(df, "strata")
+    if df.count() <= SMALL_STRATA:
+        by = [F.desc(c) if down else F.asc(c) for c, down in order]
+        return df.withColumn("_place", F.row_number().over(Window.orderBy(*by)))
+    flipped = [f"_by{i}" for i in range(len(order))]
+    keys = {n: -F.col(c) if down else F.col(c) for n, (c, down) in zip(flipped, order)}
+    numbered = with_row_id(df.withColumns(keys), flipped, "_place").drop(*flipped)
+    return numbered.withColumn("_place", F.col("_place") + 1)
 
 
 def _cut_points(keyed: DataFrame, buckets: DataFrame, targets: DataFrame) -> DataFrame:
@@ -61,21 +78,22 @@ def _cut_points(keyed: DataFrame, buckets: DataFrame, targets: DataFrame) -> Dat
     running = buckets.withColumn(
         "_upto", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
     ).withColumn("_before", F.col("_upto") - F.col("_n"))
-    # Both sides are the one small partition; merging them moves nothing.
     located = (
-        running.join(targets.hint("merge"), "_stratum")
+        running.join(targets, "_stratum")
         .filter((F.col("_before") < F.col("_k")) & (F.col("_k") <= F.col("_upto")))
         .select("_stratum", "_cut", "_bucket", (F.col("_k") - F.col("_before")).alias("_rank"))
     )
     # One row per stratum and cut. Only keys of the buckets that are cut get ordered.
     inside = Window.partitionBy("_stratum", "_cut").orderBy("_h", "_key")
-    return (
-        keyed.withColumn("_bucket", hash_bucket("_h"))
-        .join(F.broadcast(located), ["_stratum", "_bucket"])
+    located = materialize(located, "located-cuts")
+    placed = keyed.withColumn("_bucket", hash_bucket("_h"))
+    cuts = (
+        lookup_join(placed, located, ["_stratum", "_bucket"], SMALL_STRATA, "inner")
         .withColumn("_place", F.row_number().over(inside))
         .filter("_place = _rank")
         .select("_stratum", "_cut", F.struct(F.col("_h"), F.col("_key")).alias("_at"))
     )
+    return materialize(cuts, "cuts")
 
 
 def _with_cut_index(
@@ -84,11 +102,9 @@ def _with_cut_index(
     """Add ``name``: how many cut points of its stratum lie before the row."""
     per_stratum = cuts.groupBy("_stratum").agg(F.collect_list("_at").alias("_cuts"))
     at = F.struct(seeded_hash(key, seed).alias("_h"), F.col(key).alias("_key"))
+    rows = df.withColumn("_stratum", stratum.cast("string")).filter("_stratum is not null")
     return (
-        df.withColumn("_stratum", stratum.cast("string"))
-        .filter("_stratum is not null")
-        .withColumn("_at", at)
-        .join(F.broadcast(per_stratum), "_stratum", "left")
+        lookup_join(rows.withColumn("_at", at), per_stratum, "_stratum", SMALL_STRATA)
         .withColumn(
             name,
             F.coalesce(
@@ -105,10 +121,9 @@ def _mark_first(
     """Add boolean ``name``: whether the row lies at or before its stratum's only cut.
     A stratum without a cut point has quota 0."""
     at = F.struct(seeded_hash(key, seed).alias("_h"), F.col(key).alias("_key"))
+    rows = df.withColumn("_stratum", stratum.cast("string")).filter("_stratum is not null")
     return (
-        df.withColumn("_stratum", stratum.cast("string"))
-        .filter("_stratum is not null")
-        .join(F.broadcast(cuts.select("_stratum", "_at")), "_stratum", "left")
+        lookup_join(rows, cuts.select("_stratum", "_at"), "_stratum", SMALL_STRATA)
         .withColumn(name, F.coalesce(at <= F.col("_at"), F.lit(False)))
         .drop("_stratum", "_at")
     )
@@ -122,9 +137,9 @@ def _take_first(
     cuts = _cut_points(keyed, buckets, quotas.withColumn("_cut", F.lit(0)))
     at = F.struct(seeded_hash(key, seed).alias("_h"), F.col(key).alias("_key"))
     # An inner join on one row per stratum: strata with quota 0 have no cut point.
+    rows = df.withColumn("_stratum", stratum.cast("string"))
     return (
-        df.withColumn("_stratum", stratum.cast("string"))
-        .join(F.broadcast(cuts.select("_stratum", "_at")), "_stratum")
+        lookup_join(rows, cuts.select("_stratum", "_at"), "_stratum", SMALL_STRATA, "inner")
         .filter(at <= F.col("_at"))
         .drop("_stratum", "_at")
     )
@@ -150,13 +165,11 @@ def quota_cut(
 def _rounded_quotas(counts: DataFrame, n: int) -> DataFrame:
     """Half-even rounded shares, at least 1; then each stratum in alphabetical order is
     moved by one until the sum is ``n``, visiting each once; never more than there is."""
-    total = F.sum("_rows").over(Window.partitionBy())
-    first = counts.withColumn("_total", total).withColumn(
+    first = _with_sum(counts, "_rows", "_total").withColumn(
         "_q", F.greatest(F.lit(1), F.bround(n * F.col("_rows") / F.col("_total")).cast("bigint"))
     )
-    gap = (F.lit(n) - F.sum("_q").over(Window.partitionBy())).alias("_gap")
-    place = F.row_number().over(Window.orderBy("_stratum")).alias("_place")
-    repaired = first.select("*", gap, place).withColumn(
+    placed = _with_sum(_with_place(first, [("_stratum", False)]), "_q", "_given")
+    repaired = placed.withColumn("_gap", F.lit(n) - F.col("_given")).withColumn(
         "_q",
         F.col("_q")
         + F.when(F.col("_place") <= F.abs("_gap"), F.signum("_gap").cast("int")).otherwise(0),
@@ -172,18 +185,17 @@ def _rounded_quotas(counts: DataFrame, n: int) -> DataFrame:
 def _largest_remainder(counts: DataFrame, n: Column) -> DataFrame:
     """Exactly ``n`` in total, proportional; leftovers to the largest fractions, ties in
     stratum order. Whole-number arithmetic, so no engine rounds differently."""
-    total = F.sum("_rows").over(Window.partitionBy())
     share = (
-        counts.withColumn("_total", total)
+        _with_sum(counts, "_rows", "_total")
         .withColumn("_want", F.least(n, F.col("_total")).cast("bigint"))
         .withColumn("_floor", F.expr("_want * _rows div _total"))
         .withColumn("_rest", F.expr("_want * _rows % _total"))
     )
-    left = F.col("_want") - F.sum("_floor").over(Window.partitionBy())
-    place = F.row_number().over(Window.orderBy(F.desc("_rest"), "_stratum"))
-    return share.select(
-        "_stratum",
-        (F.col("_floor") + F.when(place <= left, F.lit(1)).otherwise(0)).alias("_k"),
+    placed = _with_place(share, [("_rest", True), ("_stratum", False)])
+    placed = _with_sum(placed, "_floor", "_given")
+    more = F.col("_place") <= F.col("_want") - F.col("_given")
+    return placed.select(
+        "_stratum", (F.col("_floor") + F.when(more, F.lit(1)).otherwise(0)).alias("_k")
     )
 
 
@@ -269,7 +281,7 @@ def stratified_split(
     buckets = _bucket_counts(keyed)
     counts = _stratum_counts(buckets)
     # floor of the fraction of all rows, held exactly by the allocation.
-    want = F.floor(F.sum("_rows").over(Window.partitionBy()) * F.lit(fraction) + F.lit(1e-9))
+    want = F.floor(F.col("_total") * F.lit(fraction) + F.lit(1e-9))
     quotas = _largest_remainder(counts, want)
     cuts = _cut_points(keyed, buckets, quotas.withColumn("_cut", F.lit(0)))
     marked = _mark_first(df, key, stratum, seed, cuts, "_train")
@@ -310,7 +322,8 @@ def group_stratified_split(
     labels: list[str] = LABELS, drop_null_group: bool = True,
 ) -> DataFrame:
     """Add ``split``: groups are divided, stratified by their majority label, and every
-    row follows its group. Rows without a group are dropped, or form one group.
+    row with one of ``labels`` follows its group; rows with another label are dropped. Rows
+    without a group are dropped as well, or form one group.
 
     The table of groups is read several times, so it is written once.
     """

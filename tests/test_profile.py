@@ -105,7 +105,8 @@ def test_profile_of_nothing_and_of_optional_columns(spark):
     assert r.sentiment_distribution.asDict() == {"Positive": 3, "Neutral": 1, "Negative": 0}
     assert r.reviews_per_user.asDict() == {"mean": 0.0, "median": 0.0, "max": 0}
     empty = profile.profile_report(df.filter(F.lit(False))).first()
-    assert (empty.subset_rows, empty.average_rating, empty.outlier_review_count) == (0, 0.0, None)
+    assert (empty.subset_rows, empty.average_rating, empty.outlier_review_count) == (0, 0.0, 0)
+    assert empty.outlier_thresholds_iqr.asDict() == {"lower": 0.0, "upper": 0.0}
 
 
 def test_funnel(spark):

@@ -163,3 +163,19 @@ def test_order(spark):
     numbered = with_row_id(df.withColumn("x", -F.col("id")), ["x"])
     assert all(r.row_id == 29 - r.id for r in numbered.collect())
     assert numbered.count() == 30
+
+
+@pytest.mark.parametrize("small", [100_000, 10])
+def test_any_number_of_strata(spark, monkeypatch, small):
+    """5,000 strata, ranked and joined as few or as many: the same exact draws."""
+    monkeypatch.setattr(sampling, "SMALL_STRATA", small)
+    rows = [(i, f"s{i % 5000}") for i in range(15_000)]
+    df = spark.createDataFrame(rows, "id int, sentiment string")
+    split = sampling.stratified_split(df, "id").collect()
+    assert len(split) == 15_000 and sum(r.split == "train" for r in split) == 10_500
+    per = Counter(r.sentiment for r in split if r.split == "train")
+    assert len(per) == 5000 and set(per.values()) == {2, 3}
+    # The odd rows go to the first strata in order: all shares are alike.
+    assert {s for s, n in per.items() if n == 3} == set(sorted(f"s{i}" for i in range(5000))[:500])
+    folds = Counter((r.sentiment, r.fold) for r in sampling.stratified_folds(df, 3, "id").collect())
+    assert len(folds) == 15_000
