@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from reviewlab.llm.common import fields, map_rows, short_batches
-from reviewlab.sources.stages import materialize
+from reviewlab.sources.stages import broadcast_if_small, materialize
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
@@ -37,6 +37,8 @@ SLOTS = BANDS * ROWS
 SMALL_BUCKET, TILE = 16, 512
 #: Parts over which the rows of one key are dealt in joins with a table of keys.
 SALTS = 16
+#: Ids of documents in a pair sent to every task; more are joined by shuffle.
+SMALL_IDS = 1_000_000
 #: Words whose hashes a worker remembers before it starts afresh.
 CACHE_WORDS = 300_000
 U = np.uint64
@@ -175,19 +177,27 @@ def salted_join(
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(id, set)``: the full sets, as 64-bit integers, of the documents in ``ids`` (id)."""
+    """``(id, set, short)`` of the documents in ``ids`` (id): the full sets as 64-bit integers,
+    and the upper halves of these."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = texts.join(ids, "id", "left_semi")
-    schema = T.StructType([*fields(texts, "id"), T.StructField("set", T.BinaryType())])
+    # Repeated rows are dropped where the join has brought them together.
+    asked = broadcast_if_small(ids, SMALL_IDS)
+    texts = texts.join(asked, "id", "left_semi").dropDuplicates(["id"])
+    schema = T.StructType(
+        [*fields(texts, "id")] + [T.StructField(n, T.BinaryType()) for n in ("set", "short")]
+    )
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         for columns in batches:
-            found = columns["text"].to_pylist()
-            sets = [shingle_set(t, size).astype("<u8").tobytes() for t in found]
-            yield {"id": columns["id"], "set": sets}
+            found = [shingle_set(t, size) for t in columns["text"].to_pylist()]
+            yield {
+                "id": columns["id"],
+                "set": [s.astype("<u8").tobytes() for s in found],
+                "short": [(s >> U(32)).astype("<u4").tobytes() for s in found],
+            }
 
     short_batches(docs.sparkSession)
-    return map_rows(texts, work, schema).dropDuplicates(["id"])
+    return map_rows(texts, work, schema)
 
 
 def _links_schema(kind: T.DataType) -> T.StructType:
@@ -213,6 +223,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 near.append(100 * (both - union) >= percent * union)
             yield {c: columns[c].filter(pa.array(near, pa.bool_())) for c in ("u", "v")}
 
+    sets = sets.select("id", "set")
     left = sets.select(F.col("id").alias("u"), F.col("set").alias("a"))
     right = sets.select(F.col("id").alias("v"), F.col("set").alias("b"))
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
@@ -283,36 +294,46 @@ def _remaining_pairs(unsettled: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct()
 
 
-def _tile_links(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links in large buckets between a member outside the leader's group, the query, and the
-    members of other groups: one per query, group and tile, which is all that groups need.
+def _tile_pairs(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may be links in large buckets, between a member outside the leader's group,
+    the query, and the members of other groups: those that halved hashes cannot rule out.
 
     Queries and members are dealt to tiles of bounded size; a tile counts common shingles
-    through an index of its members and returns links only.
+    through an index of its members. Halved hashes count too many, never too few: two of them
+    collide within a pair of documents about once in 10^5, two pairs once in 10^10.
     """
     held = unsettled.filter(F.col("n") > SMALL_BUCKET)
     apart = F.col("group") != F.col("first")
     sizes = held.groupBy("key").agg(F.sum(apart.cast("bigint")).alias("s"))
-    held = salted_join(held, sizes, "key", "id").join(sets, "id")
 
     def blocks(count: str) -> Column:
         return F.ceil(F.col(count) / TILE)
 
-    def dealt(rows: DataFrame, query: bool) -> DataFrame:
+    def places(query: bool) -> Column:
         own = F.pmod(F.xxhash64("id"), blocks("s" if query else "n"))
-        others = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks("n" if query else "s") - 1))
+        others = F.sequence(F.lit(0).cast("bigint"), blocks("n" if query else "s") - 1)
         names = ("q", "m") if query else ("m", "q")
-        return rows.select(
-            "key", own.alias(names[0]), others.alias(names[1]), "id", "group", "set"
-        ).select("key", "q", "m", "id", "group", "set", F.lit(query).alias("query"))
 
-    tiles = dealt(held.filter(apart), True).union(dealt(held, False))
+        def place(other: Column) -> Column:
+            ends = dict(zip(names, (own, other)))
+            return F.struct(
+                ends["q"].alias("q"), ends["m"].alias("m"), F.lit(query).alias("query")
+            )
+
+        return F.transform(others, place)
+
+    dealt = F.when(apart, F.concat(places(True), places(False))).otherwise(places(False))
+    tiles = (
+        salted_join(held, sizes, "key", "id")
+        .join(sets.select("id", "short"), "id")
+        .select("key", "id", "group", "short", F.inline(dealt))
+    )
 
     def compare(tile: pa.Table) -> pa.Table:
         query = tile["query"].to_numpy(zero_copy_only=False)
         ids, of = tile["id"].to_pylist(), tile["group"].to_pylist()
         members = np.flatnonzero(~query)
-        found = {i: np.frombuffer(s, "<u8") for i, s in enumerate(tile["set"].to_pylist())}
+        found = [np.frombuffer(s, "<u4") for s in tile["short"].to_pylist()]
         if not len(members) or not query.any():
             return pa.table({"u": [], "v": []}, schema=arrow)
         sizes = np.array([len(found[i]) for i in members])
@@ -320,17 +341,24 @@ def _tile_links(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFram
         words = np.concatenate([found[i] for i in members])
         order = np.argsort(words, kind="stable")
         words, owner = words[order], owner[order]
-        links = []
+        pairs = []
         for q in np.flatnonzero(query):
             low, high = np.searchsorted(words, found[q]), np.searchsorted(words, found[q], "right")
             count = high - low
             at = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count)
             both = np.bincount(owner[at + np.arange(len(at))], minlength=len(members))
-            near = 100 * both >= percent * (sizes + len(found[q]) - both)
-            linked = {of[members[k]]: ids[members[k]] for k in np.flatnonzero(near)}
-            links += [(ids[q], i) for g, i in linked.items() if g != of[q]]
+            total = sizes + len(found[q])
+            near = np.flatnonzero(100 * both >= percent * (total - both))
+            # Of a group, one pair is enough if it holds with one shingle less.
+            sure = 100 * (both - 1) >= percent * (total - both + 1)
+            done = {of[q]}
+            for k in sorted(near.tolist(), key=lambda k: not sure[k]):
+                if of[members[k]] not in done:
+                    pairs.append((ids[q], ids[members[k]]))
+                    if sure[k]:
+                        done.add(of[members[k]])
         return pa.table(
-            {"u": [min(p) for p in links], "v": [max(p) for p in links]}, schema=arrow
+            {"u": [min(p) for p in pairs], "v": [max(p) for p in pairs]}, schema=arrow
         )
 
     schema = _links_schema(sets.schema["id"].dataType)
@@ -375,9 +403,8 @@ def near_duplicates(
     links = materialize(verified(pairs, sets, percent), "links")
     groups = materialize(components(links), "groups")
     unsettled = materialize(_unsettled(buckets, groups), "unsettled")
-    rest = materialize(_remaining_pairs(unsettled), "pairs")
-    more = verified(rest, sets, percent).union(_tile_links(unsettled, sets, percent))
-    more = materialize(more, "links")
+    rest = _remaining_pairs(unsettled).union(_tile_pairs(unsettled, sets, percent)).distinct()
+    more = materialize(verified(materialize(rest, "pairs"), sets, percent), "links")
     if not more.isEmpty():
         groups = materialize(components(links.union(more)), "groups")
 
