@@ -40,7 +40,9 @@ SALTS = 16
 #: Ids of documents in a pair sent to every task; more are joined by shuffle.
 SMALL_IDS = 1_000_000
 #: Words whose hashes a worker remembers before it starts afresh.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
+#: Documents whose signatures are computed together.
+SKETCHED = 64
 U = np.uint64
 GOLDEN, MIX1, MIX2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 FREE = U(0xFFFFFFFFFFFFFFFF)
@@ -142,7 +144,9 @@ def sketch(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         for columns in batches:
             sets = [shingle_set(t, size) for t in columns[text_col].to_pylist()]
-            keys = band_keys(signatures(sets)).view(np.int64)
+            # Ranks take slots x shingles bytes: a part of the batch at a time.
+            parts = [signatures(sets[a : a + SKETCHED]) for a in range(0, len(sets), SKETCHED)]
+            keys = band_keys(np.concatenate([signatures([]), *parts])).view(np.int64)
             yield {
                 "id": columns[id_col],
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
