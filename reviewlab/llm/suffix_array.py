@@ -13,9 +13,9 @@ def _types(t: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one. ``t`` ends in its unique smallest
     symbol, whose suffix counts as smaller."""
     n = len(t)
-    step = np.sign(np.diff(t.astype(np.int64)))
+    step = (t[1:] > t[:-1]).astype(np.int8) - (t[1:] < t[:-1])
     # Within a run of one symbol, what ends the run decides.
-    at = np.where(step != 0, np.arange(n - 1), n)
+    at = np.where(step != 0, np.arange(n - 1, dtype=np.int32), np.int32(n))
     at = np.minimum.accumulate(at[::-1])[::-1]
     smaller = np.ones(n, bool)
     smaller[:-1] = step[np.minimum(at, n - 2)] > 0
@@ -66,7 +66,7 @@ def _scan(sa: np.ndarray, t: np.ndarray, wanted: np.ndarray, edge: np.ndarray, s
 
 def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Suffix array given the leftmost-smaller suffixes ``lms`` grouped by symbol, in order."""
-    sa = np.full(len(t), -1, np.int64)
+    sa = np.full(len(t), -1, np.int32)
     heads = np.concatenate(([0], ends[:-1]))
 
     def place() -> None:
@@ -95,11 +95,32 @@ def _names(t: np.ndarray, order: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(~same)))
 
 
+def _double(t: np.ndarray) -> np.ndarray:
+    """Suffix array by doubling the length that is sorted: for names of which most differ, whose
+    buckets are too small for induction to take long stretches."""
+    n, k, rank = len(t), 1, t.astype(np.int64)
+    while True:
+        after = np.zeros(n, np.int64)
+        after[:-k] = rank[k:] + 1
+        key = rank * (n + 2) + after
+        order = np.argsort(key)
+        new = key[order][1:] != key[order][:-1]
+        if new.all():
+            return order
+        rank[order] = np.concatenate(([0], np.cumsum(new)))
+        k *= 2
+
+
 def suffix_array(t: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes of ``t`` in order; ``t`` ends in its unique smallest symbol, 0."""
+    """Starts of the suffixes of ``t`` in order; ``t`` ends in its unique smallest symbol, 0.
+
+    Symbols of 16 bits are induced, with a counting sort; the recursion ends at wider names.
+    """
     n = len(t)
     if n < 3:
         return np.arange(n)[::-1].copy()
+    if t.dtype != np.uint16:
+        return _double(t)
     smaller = _types(t)
     starts = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     ends = np.cumsum(np.bincount(t))
@@ -112,7 +133,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     length[starts] = np.append(starts[1:], n - 1) - starts + 1
     names = _names(t, order, length)
     if names[-1] + 1 < len(order):
-        named = np.zeros(n, np.int64)
+        named = np.zeros(n, np.uint16 if names[-1] < 1 << 16 else np.int32)
         named[order] = names
         order = starts[suffix_array(named[starts])]
     return _induce(t, smaller, order, ends)
@@ -141,14 +162,12 @@ def joined(t: np.ndarray, sa: np.ndarray, least: int) -> np.ndarray:
     extends[inner] = before[inner - 1] == before[inner] - 1
     explicit = np.flatnonzero(~extends)
     most = least + STRIDE
-    padded = np.concatenate((t, np.full(most + 8, -1, t.dtype)))
     common = np.zeros(n, np.int64)
     live = explicit[before[explicit] >= 0]
     x, y, k = live, before[live], 0
-    padded[n:] = np.arange(-1, -1 - (most + 8), -1) if padded.dtype.kind == "i" else 0
     while len(live) and k < most:
-        equal = padded[np.minimum(x + k, n + k)] == padded[np.minimum(y + k, n + k)]
-        equal &= (x + k < n) & (y + k < n)
+        # The last symbol occurs once, so two different suffixes differ before the end.
+        equal = t[x + k] == t[y + k]
         common[live[~equal]] = k
         live, x, y = live[equal], x[equal], y[equal]
         k += 1

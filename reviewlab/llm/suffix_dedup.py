@@ -4,12 +4,14 @@ Every stretch of ``LENGTH`` bytes has an anchor: the start of its least hashed g
 stretches have equal anchors at equal places, so stretches need comparing only around anchors
 of one hash. All stretches with one anchor lie inside the anchor's context. Contexts are
 counted first: one that occurs twice is repeated as a whole, and a hash with one occurrence
-needs no more. What remains are distinct contexts of one hash, mostly the borders of copied
-passages. Shards of these are suffix-sorted by induced sorting, and the permuted common
-prefixes tell which stretches a neighbour shares.
+needs no more. What remains are distinct contexts
+of one hash. Their stretches are cut into ranges, which are counted in the same way under a hash
+of the bytes that all stretches of a range share; what still differs are the borders of copied
+passages. Shards of these are suffix-sorted by induced sorting, and the permuted common prefixes
+tell which stretches another place shares.
 
-A hash with more contexts than a shard holds is split by the bytes common to neighbouring
-stretches, and in the end into single stretches, which are counted: no group must fit in a task.
+A hash with more ranges than a shard holds is split into single stretches, which are counted: no
+group must fit in a task.
 
 Edge cases: a null text counts as empty; texts shorter than ``LENGTH`` lose nothing; repeated
 rows are copies of each other; other columns are ignored; an empty table gives an empty table.
@@ -26,15 +28,17 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reviewlab.llm.common import fields, map_rows, short_batches
 from reviewlab.llm.suffix_array import joined, suffix_array
+from reviewlab.operators.joins import salted_join
 from reviewlab.sources.stages import materialize
 
 LENGTH = 400
-#: Bytes of the gram whose hash selects an anchor.
-GRAM = 64
+#: Bytes of the gram whose hash selects an anchor. Longer ones make more anchors and fewer
+#: that occur by chance in stretches that differ.
+GRAM = 200
 #: Bytes of one suffix array, about; a larger group of contexts is split.
 SHARD_BYTES = 2_000_000
-#: Ranges into which the stretches of a context are cut when its group is split.
-RANGES = 8
+#: Ranges into which the stretches of a context are cut.
+RANGES = 4
 #: Parts over which the rows of one key are dealt in joins with a table of keys.
 SALTS = 8
 U = np.uint64
@@ -49,8 +53,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=U)
 
 
-POWERS = _powers(FACTOR, BLOCK + GRAM)
-INVERSES = _powers(pow(FACTOR, -1, 1 << 64), BLOCK + GRAM)
+POWERS = _powers(FACTOR, 2 * BLOCK)
+INVERSES = _powers(pow(FACTOR, -1, 1 << 64), 2 * BLOCK)
 
 
 def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -87,10 +91,10 @@ def anchors_of(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple
     return at, hashes[at]
 
 
-def _digest(raw: bytes, at: int) -> tuple[int, int]:
-    """Two 64-bit numbers that stand for bytes with a place in them."""
-    d = hashlib.blake2b(raw, digest_size=16, salt=at.to_bytes(4, "little")).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+def _digest(raw: bytes, at: int) -> int:
+    """A 64-bit number that stands for bytes with a place in them, under one key."""
+    d = hashlib.blake2b(raw, digest_size=8, salt=at.to_bytes(4, "little")).digest()
+    return int.from_bytes(d, "little", signed=True)
 
 
 def _bounds(at: int, n: int, length: int, gram: int) -> tuple[int, int]:
@@ -100,9 +104,9 @@ def _bounds(at: int, n: int, length: int, gram: int) -> tuple[int, int]:
 def anchor_table(
     docs: DataFrame, id_col: str, text_col: str, length: int, gram: int
 ) -> DataFrame:
-    """``(id, digest, begin, end, pos, key, c1, c2)`` of every anchor of every row: the
-    context's bytes, the anchor's place and hash, and the context's digest."""
-    longs = ("digest", "begin", "end", "pos", "key", "c1", "c2")
+    """``(id, digest, begin, end, pos, key, content)`` of every anchor of every row: the
+    context's place, the anchor's place and hash, and the context's digest."""
+    longs = ("digest", "begin", "end", "pos", "key", "content")
     schema = T.StructType(
         [T.StructField("id", docs.schema[id_col].dataType)]
         + [T.StructField(n, T.LongType()) for n in longs]
@@ -119,12 +123,12 @@ def anchor_table(
                 found["pos"].append(at)
                 for p in at.tolist():
                     begin, end = _bounds(p, len(raw), length, gram)
-                    c1, c2 = _digest(raw[begin:end], p - begin)
-                    for name, value in zip(("begin", "end", "c1", "c2"), (begin, end, c1, c2)):
-                        found[name].append(value)
+                    found["begin"].append(begin)
+                    found["end"].append(end)
+                    found["content"].append(_digest(raw[begin:end], p - begin))
             take = pa.array(rows, pa.int64())
             out = {n: columns[c].take(take) for n, c in (("id", id_col), ("digest", "digest"))}
-            for name in ("begin", "end", "c1", "c2"):
+            for name in ("begin", "end", "content"):
                 out[name] = pa.array(found[name], pa.int64())
             for name in ("pos", "key"):
                 parts = found[name]
@@ -150,8 +154,8 @@ def _repeated_whole(units: DataFrame, often: Column | None = None) -> DataFrame:
     """Spans of the units whose key and content occur more than once: as ``often`` tells, or
     else by the places ``n`` that units stand for."""
     often = F.sum("n") > 1 if often is None else often
-    twice = units.groupBy("key", "c1", "c2").agg(often.alias("often")).filter("often")
-    return _salted(units, twice.drop("often"), ["key", "c1", "c2"]).select(
+    twice = units.groupBy("key", "content").agg(often.alias("often")).filter("often")
+    return _salted(units, twice.drop("often"), ["key", "content"]).select(
         "id", "digest", "begin", "end"
     )
 
@@ -211,9 +215,10 @@ def sort_shards(units: DataFrame, length: int) -> DataFrame:
         for u in shard:
             own = texts.setdefault((u["id"], u["digest"]), len(texts))
             raw = np.frombuffer(u["bytes"], np.uint8)
-            parts += [raw.astype(np.int64) + 2, np.ones(1, np.int64)]
+            parts += [raw.astype(np.uint16) + np.uint16(2), np.ones(1, np.uint16)]
             places.append((own << 40) + u["begin"] + np.arange(len(raw) + 1))
-        t, place = np.append(np.concatenate(parts), 0), np.append(np.concatenate(places), 0)
+        t = np.concatenate([*parts, np.zeros(1, np.uint16)])
+        place = np.append(np.concatenate(places), 0)
         order = suffix_array(t)
         # Suffixes that share a stretch follow one another. Contexts of one text overlap: a
         # stretch is repeated only if it stands at different places.
@@ -250,49 +255,71 @@ def sort_shards(units: DataFrame, length: int) -> DataFrame:
     return map_rows(ordered.select("id", "digest", "begin", "key", "n", "bytes"), work, schema)
 
 
-def _split_units(units: DataFrame, length: int, gram: int, ranges: int) -> DataFrame:
-    """Units cut into ranges of their stretches, each under a hash of the bytes that all
-    stretches of the range share."""
-    longs = ("begin", "end", "pos", "key", "c1", "c2", "n")
+def _ranges_of(
+    u: dict, length: int, gram: int, ranges: int
+) -> Iterator[tuple[int, int, int, bytes]]:
+    """The ranges of a unit's stretches: number, place of the bytes they cover, and the bytes
+    that all stretches of the range share."""
+    raw, at = u["bytes"], u["pos"] - u["begin"]
+    starts = length - gram + 1
+    edges = [round(k * starts / ranges) - (starts - 1) for k in range(ranges + 1)]
+    for q, (a, b) in enumerate(zip(edges, edges[1:])):
+        low, high = max(at + a, 0), min(at + b - 1, len(raw) - length)
+        if low <= high:
+            yield q, low, high + length, raw[at + b - 1 : at + a + length]
+
+
+def range_table(units: DataFrame, length: int, gram: int, ranges: int) -> DataFrame:
+    """``(id, digest, unit, part, begin, end, key, content, n)`` of every range of every unit,
+    under a hash of the bytes that all its stretches share."""
+    longs = ("unit", "part", "begin", "end", "key", "content", "n")
+    schema = T.StructType(
+        [*fields(units, "id", "digest"), *(T.StructField(n, T.LongType()) for n in longs)]
+    )
+
+    def work(batches: Iterator[dict]) -> Iterator[dict]:
+        for columns in batches:
+            out = {n: [] for n in schema.names}
+            for u in pa.RecordBatch.from_pydict(columns).to_pylist():
+                key, begin = u["key"].to_bytes(8, "little", signed=True), u["begin"]
+                for q, low, high, core in _ranges_of(u, length, gram, ranges):
+                    content = _digest(u["bytes"][low:high], u["pos"] - begin - low)
+                    row = (u["id"], u["digest"], u["unit"], q, begin + low, begin + high)
+                    for name, value in zip(schema.names, (*row, _digest(key + core, q), content)):
+                        out[name].append(value)
+                    out["n"].append(u["n"])
+            yield out
+
+    return map_rows(units, work, schema)
+
+
+def _cut_parts(
+    units: DataFrame, chosen: DataFrame, length: int, gram: int, ranges: int
+) -> DataFrame:
+    """``chosen`` (unit, part, key, n) with place and bytes, from the units' contexts."""
     schema = T.StructType(
         [
             *fields(units, "id", "digest"),
-            *(T.StructField(n, T.LongType()) for n in longs),
+            *(T.StructField(n, T.LongType()) for n in ("begin", "key", "n")),
             T.StructField("bytes", T.BinaryType()),
         ]
     )
-    starts = length - gram + 1
-    edges = [round(k * starts / ranges) - (starts - 1) for k in range(ranges + 1)]
+    lists = chosen.groupBy("unit").agg(F.collect_list(F.struct("part", "key", "n")).alias("parts"))
+    joined = units.select("unit", "id", "digest", "begin", "pos", "bytes").join(lists, "unit")
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         for columns in batches:
             out = {n: [] for n in schema.names}
             for u in pa.RecordBatch.from_pydict(columns).to_pylist():
-                raw, at = u["bytes"], u["pos"] - u["begin"]
-                for q, (a, b) in enumerate(zip(edges, edges[1:])):
-                    low, high = max(at + a, 0), min(at + b - 1, len(raw) - length)
-                    if low > high:
-                        continue
-                    core = raw[at + b - 1 : at + a + length]
-                    part = raw[low : high + length]
-                    c1, c2 = _digest(part, at - low)
-                    row = {
-                        "id": u["id"], "digest": u["digest"], "n": u["n"], "pos": u["pos"],
-                        "begin": u["begin"] + low, "end": u["begin"] + high + length,
-                        "key": _digest(u["key"].to_bytes(8, "little", signed=True) + core, q)[0],
-                        "c1": c1, "c2": c2, "bytes": part,
-                    }
-                    for name, value in row.items():
+                places = {q: (a, b) for q, a, b, _ in _ranges_of(u, length, gram, ranges)}
+                for p in u["parts"]:
+                    a, b = places[p["part"]]
+                    row = (u["id"], u["digest"], u["begin"] + a, p["key"], p["n"], u["bytes"][a:b])
+                    for name, value in zip(schema.names, row):
                         out[name].append(value)
             yield out
 
-    return map_rows(units.select("id", "digest", "begin", "pos", "key", "n", "bytes"), work, schema)
-
-
-def _sizes(units: DataFrame) -> DataFrame:
-    return units.groupBy("key").agg(
-        F.sum(F.length("bytes")).alias("size"), F.count("*").alias("kinds")
-    )
+    return map_rows(joined, work, schema)
 
 
 def repeated_spans(
@@ -309,10 +336,7 @@ def repeated_spans(
     anchors = materialize(anchor_table(docs, id_col, text_col, length, gram), "anchors")
     often = (
         anchors.groupBy("key")
-        .agg(
-            F.count("*").alias("n"),
-            ((F.min("c1") != F.max("c1")) | (F.min("c2") != F.max("c2"))).alias("mixed"),
-        )
+        .agg(F.count("*").alias("n"), (F.min("content") != F.max("content")).alias("mixed"))
         .filter("n > 1")
         .select("key", "mixed")
     )
@@ -326,31 +350,47 @@ def repeated_spans(
 
     kinds = (
         held.filter("mixed")
-        .groupBy("key", "c1", "c2")
+        .groupBy("key", "content")
         .agg(F.count("*").alias("n"), F.min("unit").alias("unit"))
         .select("unit", "n")
     )
-    wanted = held.join(kinds, "unit").select("id", "digest", "begin", "end", "pos", "key", "n")
+    wanted = held.join(kinds, "unit").select(
+        "id", "digest", "begin", "end", "pos", "key", "n", "unit"
+    )
     # Repeated rows are cut once each; their contexts count twice, so they are only compared with.
     units = materialize(_cut_contexts(docs, wanted, id_col, text_col), "contexts")
-    large = materialize(_sizes(units).filter(F.col("size") > shard_bytes).select("key"), "large")
-    spans.append(sort_shards(units.join(large, "key", "left_anti"), length))
-
-    if not large.isEmpty():
-        parts = _split_units(_salted(units, large, ["key"]), length, gram, RANGES)
-        parts = materialize(parts, "split-contexts")
-        spans.append(_repeated_whole(parts))
-        distinct = (
-            parts.groupBy("key", "c1", "c2")
-            .agg(F.sum("n").alias("n"), F.min(F.struct("id", "digest", "begin", "bytes")).alias("u"))
-            .select("key", "n", "u.*")
+
+    parts = materialize(range_table(units, length, gram, RANGES), "ranges")
+    distinct = materialize(
+        parts.groupBy("key", "content").agg(
+            F.sum("n").alias("n"), F.min(F.col("unit") * RANGES + F.col("part")).alias("first")
+        ),
+        "distinct-ranges",
+    )
+    whole = distinct.filter("n > 1").select("key", "content")
+    spans.append(
+        _salted(parts.filter("n = 1"), whole, ["key", "content"]).select(
+            "id", "digest", "begin", "end"
         )
-        distinct = materialize(distinct, "distinct-parts")
-        sizes = materialize(_sizes(distinct).filter("kinds > 1"), "part-sizes")
-        fits = sizes.filter(F.col("size") <= shard_bytes).select("key")
-        spans.append(sort_shards(_salted(distinct, fits, ["key"]), length))
-        over = sizes.filter(F.col("size") > shard_bytes).select("key")
-        spans.append(_count_stretches(_salted(parts, over, ["key"]), length))
+    )
+    kinds = distinct.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    size = F.col("kinds") * (length + -(-(length - gram + 1) // RANGES))
+    chosen = salted_join(distinct, kinds.select("key", (size > shard_bytes).alias("large")), "key")
+    chosen = materialize(
+        chosen.filter("large is not null").select(
+            F.expr(f"first div {RANGES}").alias("unit"),
+            F.expr(f"first % {RANGES}").alias("part"),
+            "key",
+            "n",
+            "large",
+        ),
+        "chosen-ranges",
+    )
+    fits = _cut_parts(units, chosen.filter("not large"), length, gram, RANGES)
+    spans.append(sort_shards(fits, length))
+    over = chosen.filter("large")
+    if not over.isEmpty():
+        spans.append(_count_stretches(_cut_parts(units, over, length, gram, RANGES), length))
     found = spans[0]
     for more in spans[1:]:
         found = found.union(more.select(*found.columns))
@@ -369,8 +409,7 @@ def _count_stretches(units: DataFrame, length: int) -> DataFrame:
         (F.col("b") + F.col("at")).alias("begin"),
         (F.col("b") + F.col("at") + length).alias("end"),
         F.xxhash64(body).alias("key"),
-        F.xxhash64(F.lit("stretch"), body).alias("c1"),
-        F.lit(0).cast("bigint").alias("c2"),
+        F.xxhash64(F.lit("stretch"), body).alias("content"),
     )
     # A stretch may come with several contexts of its text: different places count.
     place = F.xxhash64("id", "digest", "begin")

@@ -249,7 +249,7 @@ def test_suffix_arrays_against_sorting():
         t = rng.integers(1, k + 1, n)
         if trial % 3 == 0:
             t = np.tile(t[: max(1, n // 7)], 8)[:n]
-        t = np.append(t, 0)
+        t = np.append(t, 0).astype(np.uint16 if trial % 2 else np.int64)
         sa, text = suffix_array.suffix_array(t), t.tolist()
         assert sa.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
         least = int(rng.integers(1, 8))
@@ -460,8 +460,11 @@ def test_near_duplicates_against_brute_force(spark, size):
 def test_members_the_leader_leaves_apart_are_linked(spark, monkeypatch):
     # 1 is the leader; 2 and 3 are near each other, 5 is near 4 of the leader's group.
     text = {1: range(10), 2: range(20, 30), 3: range(20, 31), 4: range(100, 110), 5: range(99, 110)}
-    sets = [(i, np.fromiter(w, np.uint64).tobytes()) for i, w in text.items()]
-    sets = spark.createDataFrame(sets, "id long, set binary")
+    sets = [
+        (i, np.fromiter(w, np.uint64).tobytes(), np.fromiter(w, np.uint32).tobytes())
+        for i, w in text.items()
+    ]
+    sets = spark.createDataFrame(sets, "id long, set binary, short binary")
     buckets = spark.createDataFrame(
         [(7, i, 1, 5) for i in text], "key long, id long, leader long, n long"
     )
@@ -471,12 +474,12 @@ def test_members_the_leader_leaves_apart_are_linked(spark, monkeypatch):
     assert {tuple(p) for p in pairs.collect()} == {
         (2, 3), (2, 4), (3, 4), (4, 5), (2, 5), (3, 5),
     }
-    assert near_dedup._tile_links(unsettled, sets, 80).count() == 0
+    assert near_dedup._tile_pairs(unsettled, sets, 80).count() == 0
     want = {(2, 3), (4, 5)}
     assert {tuple(p) for p in near_dedup.verified(pairs, sets, 80).collect()} == want
     monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 1)
     monkeypatch.setattr(near_dedup, "TILE", 2)
-    links = near_dedup._tile_links(unsettled, sets, 80)
+    links = near_dedup._tile_pairs(unsettled, sets, 80)
     assert {tuple(p) for p in links.collect()} == want
     assert near_dedup._remaining_pairs(unsettled).count() == 0
 
