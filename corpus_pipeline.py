@@ -25,8 +25,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many sources share; ``n_chars`` follows the text."""
-    cleaned = line_dedup.drop_shared_lines(docs.select(*COLUMNS))
+    """Documents without the lines that many sources share; ``n_chars`` follows the text.
+
+    Copies of one document are no boilerplate: they are left to the next stage, which keeps one.
+    """
+    cleaned = line_dedup.drop_shared_lines(
+        docs.select(*COLUMNS),
+        min_texts=line_dedup.MIN_SITES,
+        copy_percent=line_dedup.COPY_PERCENT,
+    )
     n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars.cast("bigint")).select(*COLUMNS)
 

@@ -5,6 +5,11 @@ text is stored and written once as a narrow table; a HyperLogLog sketch of the s
 line hash, merged by aggregation, gives each spread. Lines whose estimate lies near the
 threshold are counted exactly, so the decision is the exact one.
 
+Copies of one document make all its lines stand on many sites. With ``min_texts`` a line must
+stand in that many different texts as well, so copies of a text vote once; with ``copy_percent``
+a text of whose words that percentage would go, a copy with small changes, stays whole. Both
+leave such documents to the removal of near copies.
+
 Edge cases: a null text stays null; blank lines and lines of fewer than ``min_words`` words
 stay; a null site is no site; a text losing all lines becomes empty; repeated rows lose the
 same lines; other columns are kept, those named like an output are replaced; an empty table
@@ -20,6 +25,9 @@ from reviewlab.sources.stages import broadcast_if_small, materialize
 
 MIN_SITES = 10
 MIN_WORDS = 4
+#: Percentage of a text's words in shared lines from which it counts as a copy: two texts with
+#: no more of their own than that are near copies (8 of 9 words in common give 0.8).
+COPY_PERCENT = 90
 #: Estimates within this share of the threshold are counted exactly.
 NEAR = 0.3
 #: Boilerplate lines sent to every task (16 bytes each); a longer list is joined by shuffle.
@@ -69,27 +77,43 @@ def salted_semi(rows: DataFrame, keys: DataFrame, on: list[str], spread_by: list
     return rows.select("*", salt).join(spread, [*on, "salt"], "left_semi").drop("salt")
 
 
-def shared_lines(lines: DataFrame, min_sites: int) -> DataFrame:
-    """``(h1, h2)`` of the lines on at least ``min_sites`` distinct sites."""
+def n_words(text: Column) -> Column:
+    """Words between white space."""
+    words = let(normal_line(text), lambda x: F.when(x != "", F.size(F.split(x, " "))))
+    return F.coalesce(words, F.lit(0))
+
+
+def shared_lines(lines: DataFrame, min_sites: int, min_texts: int | None = None) -> DataFrame:
+    """``(h1, h2)`` of the lines on at least ``min_sites`` distinct sites, and in at least
+    ``min_texts`` different texts."""
+    shared = _spread_at_least(lines, "site", min_sites)
+    if min_texts is None:
+        return shared
+    lines = salted_semi(lines, materialize(shared, "many-sites"), ["h1", "h2"], ["id", "pos"])
+    return _spread_at_least(lines, "digest", min_texts)
+
+
+def _spread_at_least(lines: DataFrame, of: str, least: int) -> DataFrame:
+    """``(h1, h2)`` of the lines with at least ``least`` distinct values of ``of``."""
     key = ["h1", "h2"]
-    # A line on that many sites occurs that often; a count is cheaper than a sketch.
-    often = lines.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") >= min_sites)
+    # A line of that spread occurs that often; a count is cheaper than a sketch.
+    often = lines.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") >= least)
     often = materialize(often.select(*key), "frequent-lines")
     asked = salted_semi(lines, often, key, ["id", "pos"])
     spread = asked.groupBy(*key).agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site")).alias("sites")
+        F.hll_sketch_estimate(F.hll_sketch_agg(of)).alias("spread")
     )
     spread = materialize(spread, "line-spread")
-    near = spread.filter(F.abs(F.col("sites") - min_sites) <= F.lit(NEAR) * min_sites)
+    near = spread.filter(F.abs(F.col("spread") - least) <= F.lit(NEAR) * least)
     exact = (
         salted_semi(lines, near.select(*key), key, ["id", "pos"])
-        .select(*key, "site")
+        .select(*key, of)
         .distinct()
         .groupBy(*key)
-        .agg(F.count("site").alias("sites"))
+        .agg(F.count(of).alias("spread"))
     )
-    sure = spread.filter(F.col("sites") > F.lit(1 + NEAR) * min_sites)
-    return sure.union(exact.filter(F.col("sites") >= min_sites)).select(*key)
+    sure = spread.filter(F.col("spread") > F.lit(1 + NEAR) * least)
+    return sure.union(exact.filter(F.col("spread") >= least)).select(*key)
 
 
 def drop_shared_lines(
@@ -99,11 +123,14 @@ def drop_shared_lines(
     site_col: str = "source",
     min_sites: int = MIN_SITES,
     min_words: int = MIN_WORDS,
+    min_texts: int | None = None,
+    copy_percent: int | None = None,
 ) -> DataFrame:
-    """``docs`` without the lines that at least ``min_sites`` sites share, with the counts
-    ``n_lines`` and ``n_removed``."""
+    """``docs`` without the lines that at least ``min_sites`` sites (and ``min_texts``
+    different texts) share, with the counts ``n_lines`` and ``n_removed``. Texts of which
+    ``copy_percent`` of the words would go lose nothing."""
     lines = materialize(line_table(docs, id_col, text_col, site_col, min_words), "lines")
-    shared = materialize(shared_lines(lines, min_sites), "shared-lines")
+    shared = materialize(shared_lines(lines, min_sites, min_texts), "shared-lines")
     hits = (
         salted_semi(lines, shared, ["h1", "h2"], ["id", "pos"])
         .groupBy(F.col("id").alias("hit_id"), F.col("digest").alias("hit_digest"))
@@ -123,6 +150,16 @@ def drop_shared_lines(
         left = F.array_except(places, "hit_pos")
         return F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
 
+    if copy_percent is not None:
+
+        def is_copy(left: Column, text: Column) -> Column:
+            return let(n_words(text), lambda n: 100 * (n - n_words(left)) >= copy_percent * n)
+
+        left = let(F.split(doc[text_col], "\n"), without)
+        joined = joined.withColumn(
+            "hit_pos",
+            F.when(F.col("hit_pos").isNotNull() & ~is_copy(left, doc[text_col]), F.col("hit_pos")),
+        )
     text = F.when(F.col("hit_pos").isNull(), doc[text_col]).otherwise(
         let(F.split(doc[text_col], "\n"), without)
     )
