@@ -120,13 +120,13 @@ def _runs(known: np.ndarray, shortest: int, gap: int) -> list[tuple[int, int]]:
 
 
 def _probes(items: DataFrame, frequency: DataFrame, window: int) -> DataFrame:
-    """``(item, term, offset)``: the rarest term of every window of the items (item, terms).
+    """``(no, term, offset)``: the rarest term of every window of the items (no, terms).
 
     Windows with a term of no posting cannot occur and are left out.
     """
-    placed = items.select("item", F.posexplode("terms").alias("offset", "term"))
+    placed = items.select("no", F.posexplode("terms").alias("offset", "term"))
     placed = placed.join(F.broadcast(frequency), "term", "left")
-    ordered = placed.groupBy("item").agg(
+    ordered = placed.groupBy("no").agg(
         F.sort_array(F.collect_list(F.struct("offset", "term", "n"))).alias("t")
     )
     n = F.size("t")
@@ -141,8 +141,8 @@ def _probes(items: DataFrame, frequency: DataFrame, window: int) -> DataFrame:
             F.transform(w, lambda x: F.struct(x["n"], x["offset"], x["term"]))
         ),
     )
-    return ordered.select("item", F.explode(F.array_distinct(rarest)).alias("p")).select(
-        "item", F.col("p.term").alias("term"), F.col("p.offset").alias("offset")
+    return ordered.select("no", F.explode(F.array_distinct(rarest)).alias("p")).select(
+        "no", F.col("p.term").alias("term"), F.col("p.offset").alias("offset")
     )
 
 
@@ -177,13 +177,14 @@ def _close(terms: np.ndarray, item: np.ndarray, shift: int, window: int, slack:
 def _matches(
     docs: DataFrame, items: DataFrame, id_col: str, text_col: str, window: int, slack: int | None
 ) -> tuple[DataFrame, DataFrame]:
-    """The index of ``docs``, and ``(id, digest, item, spans)`` for one group of items."""
+    """The index of ``docs``, and ``(id, digest, item, spans)`` for one group of the items
+    (no, item, terms). An item is told by its number: ids may be null or have several texts."""
     spark = docs.sparkSession
     terms = sorted({t for r in items.select("terms").toLocalIterator() for t in r.terms})
     numbers = {t: n for n, t in enumerate(terms)}
-    table = [(r.item, [numbers[t] for t in r.terms]) for r in items.toLocalIterator()]
-    numbered = spark.createDataFrame(table, "item string, terms array<int>")
-    shortest = min([window, *(len(ts) for _, ts in table)])
+    table = [(r.no, r.item, [numbers[t] for t in r.terms]) for r in items.toLocalIterator()]
+    numbered = spark.createDataFrame(table, "no long, item string, terms array<int>")
+    shortest = min([window, *(len(ts) for _, _, ts in table)])
     index = materialize(
         build_index(docs, numbers, id_col, text_col, shortest, slack or 0), "index"
     )
@@ -191,7 +192,7 @@ def _matches(
     postings = runs.select("*", F.posexplode("terms").alias("at", "term")).filter("term >= 0")
     frequency = materialize(postings.groupBy("term").agg(F.count("*").alias("n")), "frequency")
     probes = materialize(_probes(numbered, frequency, window), "probes")
-    key = ["id", "digest", "start", "item", "shift"]
+    key = ["id", "digest", "start", "no", "shift"]
     places = (
         postings.join(F.broadcast(probes), "term")
         .withColumn("shift", F.col("at") - F.col("offset"))
@@ -224,7 +225,7 @@ def _matches(
                 spans.append([{"begin": begin + a, "end": begin + b} for a, b in found])
             yield {**{c: columns[c] for c in ("id", "digest", "item")}, "spans": spans}
 
-    found = map_rows(places.join(wanted, "item"), work, schema)
+    found = map_rows(places.join(wanted, "no"), work, schema)
     return index, found.filter("size(spans) > 0")
 
 
@@ -237,17 +238,18 @@ def find_items(
     window: int = WINDOW,
     slack: int | None = None,
 ) -> DataFrame:
-    """``(id, n_words, n_hit, items, spans)`` of every row of ``docs``.
+    """``(id, n_words, n_hit, items, n_items, spans)`` of every row of ``docs``.
 
     ``n_hit`` counts words inside an occurrence of ``window`` consecutive words of an item (or
-    the whole of a shorter one); ``items`` lists the items found, sorted as strings. With
-    ``slack``, occurrences are stretches of ``slack`` words more that hold the window's words
+    the whole of a shorter one); ``items`` lists the ids of the items found, sorted as strings,
+    and ``n_items`` counts them, a null one too. With ``slack``, occurrences are stretches of ``slack`` words more that hold the window's words
     in any order.
     """
     listed = materialize(
         item_terms(items, item_col, "text")
         .select(F.col(item_col).cast("string").alias("item"), "terms")
-        .distinct(),
+        .distinct()
+        .withColumn("no", F.monotonically_increasing_id()),
         "items",
     )
     words = listed.agg(F.sum(F.size("terms"))).first()[0] or 0
@@ -260,6 +262,7 @@ def find_items(
     # Hits of one document only: its own matches, not a key's.
     per_doc = found.groupBy("id", "digest").agg(
         F.array_sort(F.collect_set("item")).alias("items"),
+        F.max(F.col("item").isNull().cast("bigint")).alias("unnamed"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
     )
     per_doc = per_doc.withColumnsRenamed({"id": "hit_id", "digest": "hit_digest"})
@@ -273,6 +276,7 @@ def find_items(
         "n_words",
         F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce(F.size("items") + F.col("unnamed"), F.lit(0)).cast("bigint").alias("n_items"),
         "spans",
     )
 

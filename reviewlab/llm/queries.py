@@ -255,7 +255,7 @@ def op7_decontaminate(spark, sf):
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("items").cast("bigint").alias("n_items"),
+        "n_items",
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
     )
