@@ -10,6 +10,7 @@ scanned; other columns are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -92,6 +93,77 @@ SENTENCES = {
     "cc-by-nd-ref": "licensed under cc by nd 4 0",
 }
 
+# What follows "licensed under the" in notices of each licence, and its SPDX names.
+NOTICES = {
+    "Apache-2.0": (["the apache license version 2 0", "the apache license 2 0"], ["Apache-2.0"]),
+    "MIT": (["the mit license"], ["MIT"]),
+    "GPL-3.0": (
+        ["the gnu general public license version 3", "the gnu general public license v3 0",
+         "the gnu gpl v3"],
+        ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0+"],
+    ),
+    "GPL-2.0": (
+        ["the gnu general public license version 2", "the gnu general public license v2 0",
+         "the gnu gpl v2"],
+        ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0+"],
+    ),
+    "LGPL-3.0": (
+        ["the gnu lesser general public license version 3"],
+        ["LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "LGPL-3.0+"],
+    ),
+    "AGPL-3.0": (
+        ["the gnu affero general public license version 3"],
+        ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "AGPL-3.0+"],
+    ),
+    "MPL-2.0": (
+        ["the mozilla public license version 2 0", "the mozilla public license 2 0"], ["MPL-2.0"]
+    ),
+    "BSD": (
+        ["the bsd license", "the bsd 2 clause license", "the bsd 3 clause license"],
+        ["BSD-2-Clause", "BSD-3-Clause"],
+    ),
+    **{
+        f"CC-{short.upper().replace(' ', '-')}-4.0": (
+            [f"cc {short} 4 0", f"a creative commons {full} 4 0 international license"],
+            [f"CC-{short.upper().replace(' ', '-')}-4.0"],
+        )
+        for short, full in {
+            "by": "attribution",
+            "by sa": "attribution sharealike",
+            "by nc": "attribution noncommercial",
+            "by nc sa": "attribution noncommercial sharealike",
+            "by nd": "attribution noderivatives",
+        }.items()
+    },
+}
+SUBJECTS = ["", *(f"this {what} is " for what in "work project software file program".split())]
+VERBS = ["licensed", "released", "distributed"]
+
+
+def _normal(text: str) -> str:
+    return re.sub("[^a-z0-9]+", " ", text.lower()).strip()
+
+
+def _notices() -> dict[str, list[str]]:
+    """Names of the notice sentences of each licence, which are added to the known ones."""
+    known = {sentence: name for name, sentence in SENTENCES.items()}
+    listed = {}
+    for licence, (full, spdx) in NOTICES.items():
+        said = [
+            f"{subject}{verb} under {name}"
+            for name in full for subject in SUBJECTS for verb in VERBS
+        ]
+        # The colon after the identifier is dropped by WRAPPED.
+        said += [f"spdx license {_normal(name)}" for name in spdx]
+        said = [x for x in dict.fromkeys(said) if x not in known]
+        listed[licence] = [f"{licence.lower()}-{i}" for i in range(1, len(said) + 1)]
+        SENTENCES.update(zip(listed[licence], said))
+        known.update(zip(said, listed[licence]))
+    return listed
+
+
+_NOTICE_NAMES = _notices()
+
 
 class Rule(NamedTuple):
     """A licence and the sentences that must follow one another among the known ones."""
@@ -126,10 +198,20 @@ RULES = [
     Rule("CC-BY-ND-4.0", ("cc-by-nd-ref",)),
 ]
 
+RULES += [Rule(licence, (name,)) for licence, names in _NOTICE_NAMES.items() for name in names]
+
 #: Every known sentence holds one of these stems; other sentences are not looked up.
-STEMS = r"(?i)licens|compliance|permission|copyright|warrant|redistribut"
-#: A line that ends in a comma, or is followed by a small letter, goes on in the next line.
-WRAPPED = r",[ \t\r]*\n[ \t#*/;]*|[ \t\r]*\n[ \t#*/;]*([a-z(])"
+STEMS = r"(?i)licens|compliance|permission|copyright|warrant|redistribut|under\s+cc\s+by|gnu\s+gpl"
+
+
+_SPDX = "|".join(
+    re.escape(name).replace(r"\-", "-") for _, names in NOTICES.values() for name in names
+)
+#: A line that ends in a comma, or is followed by a small letter, goes on in the next line. A SPDX line ends with its line, and loses its colon.
+WRAPPED = (
+    r",[ \t\r]*\n[ \t#*/;]*|(?:[ \t\r]*\n[ \t#*/;]*[\"(]*|-Identifier:[ \t]+)"
+    rf"((?:{_SPDX})[ \t\r*/>-]*(?:\n|$)|[a-z(])"
+)
 ENDED = r"([.!?;:])[ \t\r]+"
 
 
