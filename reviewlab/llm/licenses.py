@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reviewlab.llm.common import let
 
 # Known sentences by name, in normal form (lower case, letters, digits and
-# single spaces).
+# single spaces). Each is a piece as ``ENDED`` cuts them: none holds the end of another.
 SENTENCES = {
     "apache-ref": "licensed under the apache license version 2 0",
     "apache-header": "licensed under the apache license version 2 0 the license",
@@ -58,20 +58,21 @@ SENTENCES = {
     "gpl3-released": "released under the gnu general public license version 3",
     "gpl2-ref": "gnu general public license version 2",
     "gpl-free": (
-        "this program is free software you can redistribute it and or modify it under the "
-        "terms of the gnu general public license as published by the free software foundation "
-        "either version 3 of the license or at your option any later version"
+        "you can redistribute it and or modify it under the terms of the gnu general public "
+        "license as published by the free software foundation either version 3 of the license "
+        "or at your option any later version"
     ),
     "gpl-hope": (
-        "this program is distributed in the hope that it will be useful but without any "
-        "warranty without even the implied warranty of merchantability or fitness for a "
-        "particular purpose"
+        "this program is distributed in the hope that it will be useful but without any warranty"
+    ),
+    "gpl-even": (
+        "without even the implied warranty of merchantability or fitness for a particular purpose"
     ),
     "gpl-see": "see the gnu general public license for more details",
     "lgpl3-ref": "gnu lesser general public license version 3",
     "agpl3-ref": "gnu affero general public license version 3",
     "mpl2-ref": (
-        "this source code form is subject to the terms of the mozilla public license v 2 0"
+        "this source code form is subject to the terms of the mozilla public license v"
     ),
     "bsd-redistribute": (
         "redistribution and use in source and binary forms with or without modification are "
@@ -182,7 +183,7 @@ RULES = [
     Rule("MIT", ("mit-released",)),
     Rule("MIT", ("mit-licensed",)),
     Rule("MIT", ("mit-ref",)),
-    Rule("GPL-3.0", ("gpl-free", "gpl-hope", "gpl-see")),
+    Rule("GPL-3.0", ("gpl-free", "gpl-hope", "gpl-even", "gpl-see")),
     Rule("GPL-3.0", ("gpl3-licensed",)),
     Rule("GPL-3.0", ("gpl3-released",)),
     Rule("GPL-3.0", ("gpl3-ref",)),
@@ -204,13 +205,51 @@ RULES += [Rule(licence, (name,)) for licence, names in _NOTICE_NAMES.items() for
 STEMS = r"(?i)licens|compliance|permission|copyright|warrant|redistribut|under\s+cc\s+by|gnu\s+gpl"
 
 
+def _tails() -> str:
+    """A pattern of what begins the next line when a known sentence is wrapped: its following
+    words, as many, two at least, as no known sentence begins with."""
+    begun = set()
+    for sentence in SENTENCES.values():
+        words = sentence.split()
+        begun.update(tuple(words[:n]) for n in range(1, len(words) + 1))
+    tails = set()
+    for sentence in SENTENCES.values():
+        words = sentence.split()
+        for at in range(1, len(words)):
+            tail = words[at:]
+            n = next((n for n in range(2, len(tail) + 1) if tuple(tail[:n]) not in begun), 0)
+            if n:
+                tails.add((tuple(tail[:n]), n == len(tail)))
+            elif len(tail) == 1 and tuple(tail) not in begun:
+                tails.add((tuple(tail), True))
+
+    def pattern(tails: set) -> str:
+        """Alternatives by their first word."""
+        firsts: dict[str, set] = {}
+        for words, last in sorted(tails):
+            firsts.setdefault(words[0], set()).add((words[1:], last))
+        parts = []
+        for word, rest in firsts.items():
+            ends = [last for words, last in rest if not words]
+            more = {(words, last) for words, last in rest if words}
+            choices = [rf"[^a-z0-9\n]+{pattern(more)}"] if more else []
+            if ends:
+                # A whole tail ends there; a part of one goes on.
+                choices.append(r"\b" if not all(ends) else r"[ \t\r]*(?:[^a-z0-9 \t\r]|$)")
+            parts.append(word + (choices[0] if len(choices) == 1 else f"(?:{'|'.join(choices)})"))
+        return f"(?:{'|'.join(parts)})"
+
+    return pattern(tails)
+
+
 _SPDX = "|".join(
     re.escape(name).replace(r"\-", "-") for _, names in NOTICES.values() for name in names
 )
-#: A line that ends in a comma, or is followed by a small letter, goes on in the next line. A SPDX line ends with its line, and loses its colon.
+#: A line that ends in a comma, or is followed by a small letter or by what goes on in a known
+#: sentence, goes on in the next line. A SPDX line ends with its line, and loses its colon.
 WRAPPED = (
     r",[ \t\r]*\n[ \t#*/;]*|(?:[ \t\r]*\n[ \t#*/;]*[\"(]*|-Identifier:[ \t]+)"
-    rf"((?:{_SPDX})[ \t\r*/>-]*(?:\n|$)|[a-z(])"
+    rf"((?:{_SPDX})[ \t\r*/>-]*(?:\n|$)|[a-z(]|(?i:{_tails()}))"
 )
 ENDED = r"([.!?;:])[ \t\r]+"
 
