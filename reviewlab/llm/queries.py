@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewlab.llm import (
     bpe,
     decontaminate,
+    divergence,
     licenses,
     line_dedup,
     near_dedup,
@@ -347,3 +348,63 @@ def op5_suffix_dedup(spark, sf):
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+_KEPT_TERMS = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM documents),
+kept AS (
+  SELECT lang, term, count(*) AS all_n FROM d GROUP BY lang, term
+  HAVING count(DISTINCT rid) >= {divergence.MIN_DOCS}),
+own AS (
+  SELECT lang, source, term, all_n, count(*) AS n FROM d JOIN kept USING (lang, term)
+  GROUP BY ALL),
+langs AS (
+  SELECT lang, count(*) AS v, sum(all_n) AS lang_total FROM kept GROUP BY lang),
+groups AS (
+  SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+facts AS (
+  SELECT lang, source, coalesce(v, 0) AS v, lang_total, coalesce(total, 0) AS total
+  FROM groups LEFT JOIN langs USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM own GROUP BY lang, source)
+    USING (lang, source))"""
+
+
+def _share_sql(n: str, total: str, v: str) -> str:
+    top = f"{divergence.SCALE}::HUGEINT * ({n} + {divergence.PRIOR})"
+    return f"(1 + ({top}) // ({total} + {divergence.PRIOR} * {v}))"
+
+
+_DIVERGENCE_SQL = f"""{_KEPT_TERMS},
+p AS (
+  SELECT f.lang, f.source, k.term, {_share_sql("coalesce(n, 0)", "total", "v")} AS p
+  FROM facts f JOIN kept k ON k.lang = f.lang
+  LEFT JOIN own o ON o.lang = f.lang AND o.source = f.source AND o.term = k.term),
+apart AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+  GROUP BY ALL),
+pairs AS (
+  SELECT x.lang, x.source, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN apart a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source),
+above AS (
+  SELECT lang, source, term AS item, CAST({_share_sql("n", "total", "v")}
+    - {_share_sql("all_n", "lang_total", "v")} AS BIGINT) AS value
+  FROM own JOIN facts USING (lang, source)),
+both_parts AS (
+  SELECT *, 'pair' AS part FROM pairs
+  UNION ALL BY NAME SELECT *, 'term' AS part FROM above WHERE value > 0)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
+@query(_DIVERGENCE_SQL)
+def op12_divergence(spark, sf):
+    """How far each source is from the others of its language, and by which terms."""
+    return divergence.audit(table(spark, sf, "documents"))
