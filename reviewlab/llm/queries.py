@@ -13,6 +13,7 @@ from reviewlab.llm import (
     licenses,
     line_dedup,
     near_dedup,
+    negatives,
     quality_model,
     quality_rules,
     secrets,
@@ -408,3 +409,36 @@ WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
 def op12_divergence(spark, sf):
     """How far each source is from the others of its language, and by which terms."""
     return divergence.audit(table(spark, sf, "documents"))
+
+
+NEGATIVES_SQL = f"""
+WITH v AS (
+  SELECT DISTINCT vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor({negatives.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+    CAST(list_dot_product(CAST(a.q AS DOUBLE[]), CAST(r.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+pos AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k
+    FROM scored WHERE same) WHERE k <= {negatives.POSITIVES})
+SELECT * FROM (
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (
+      PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+  FROM pos JOIN scored USING (anchor_id)
+  WHERE NOT same AND {negatives.LOW} * positive_score <= 100 * score
+    AND 100 * score <= {negatives.HIGH} * positive_score)
+WHERE rank <= {negatives.NEGATIVES}"""
+
+
+@query(NEGATIVES_SQL)
+def op13_hard_negatives(spark, sf):
+    """Rows of another label that score nearly as high as an anchor's own best."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, label=label)
