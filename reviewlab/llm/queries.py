@@ -14,6 +14,7 @@ from reviewlab.llm import (
     line_dedup,
     near_dedup,
     negatives,
+    phrase_dedup,
     quality_model,
     quality_rules,
     secrets,
@@ -442,3 +443,39 @@ def op13_hard_negatives(spark, sf):
     """Rows of another label that score nearly as high as an anchor's own best."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+PASSAGES_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS words FROM documents),
+w AS (
+  SELECT rid, s, array_to_string(words[s:s + {phrase_dedup.LENGTH - 1}], ' ') AS content
+  FROM (SELECT rid, words, unnest(range(1, len(words) - {phrase_dedup.LENGTH - 2})) AS s FROM d)),
+twice AS (SELECT rid, s, content FROM (
+  SELECT *, count(*) OVER (PARTITION BY content) AS n FROM w) WHERE n > 1),
+gone AS (
+  SELECT rid, list(DISTINCT p) AS places FROM (
+    SELECT rid, unnest(range(s, s + {phrase_dedup.LENGTH})) AS p FROM twice) GROUP BY rid),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS text FROM (
+    SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM d) x
+  WHERE NOT EXISTS (
+    SELECT 1 FROM (SELECT rid, unnest(places) AS p FROM gone) g WHERE g.rid = x.rid AND g.p = x.p)
+  GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)"""
+
+
+@query(PASSAGES_SQL)
+def op11_phrase_dedup(spark, sf):
+    """Words of each text outside 35-word windows that stand anywhere else too."""
+    found = phrase_dedup.remove_repeated(table(spark, sf, "documents"))
+    gone = F.transform("spans", lambda s: s["end"] - s["begin"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate(gone, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
