@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import warnings
+from dataclasses import dataclass, replace
 from itertools import combinations, product
 
 import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
-from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
+from reviewlab.operators import linear
 from reviewlab.operators.evaluate import classification_metrics, confusion_matrix
+from reviewlab.operators.linear import Fit, Problem
 from reviewlab.operators.smote import smote
 from reviewlab.schema import CLASS_ORDER
+from reviewlab.sources.stages import materialize, remove_stage, stage_path
 
 # The search grids.
 LOGREG_GRID = {
@@ -28,9 +29,6 @@ LOGREG_GRID = {
 }
 SVM_GRID = {"C": [0.1, 1.0, 10.0], "classWeight": ["none", "balanced"]}
 
-#: Training rows one task should have at least.
-ROWS_PER_TASK = 20_000
-
 
 def with_class_index(df: DataFrame, label: str = "sentiment", out: str = "label") -> DataFrame:
     """Add the class number, classes in alphabetical order."""
@@ -55,6 +53,10 @@ def class_weights(df: DataFrame, label: str = "sentiment") -> DataFrame:
     )
 
 
+#: Classes a classifier may have; more point to a wrong label column.
+MAX_CLASSES = 100
+
+
 class _Regularised(Params):
     """Parameters of a classifier whose penalty is stated as inverse strength ``C``."""
 
@@ -63,22 +65,41 @@ class _Regularised(Params):
         Params._dummy(), "classWeight", "'none' or 'balanced'", TypeConverters.toString
     )
 
-    def _weighted(self, dataset: DataFrame) -> tuple[DataFrame, float]:
-        """The rows with a ``_weight`` column, and the sum of the weights."""
-        label = self.getOrDefault(self.labelCol)
-        # One row per class.
-        sizes = {r[label]: r["count"] for r in dataset.groupBy(label).count().collect()}
-        total = float(sum(sizes.values()))
-        weight = F.lit(1.0)
-        if self.getOrDefault(self.classWeight) == "balanced":
-            for c, n in sizes.items():
-                weight = F.when(F.col(label) == c, F.lit(total / (len(sizes) * n))).otherwise(
-                    weight
-                )
-        # An iteration is one job: more tasks than the rows are worth only cost time.
-        rows = dataset.coalesce(max(1, -(-int(total) // ROWS_PER_TASK)))
-        # Balanced weights add up to the number of rows as well.
-        return rows.withColumn("_weight", weight), total
+    def _problem(self, given: dict | None = None, held: int | None = None, pair=None) -> Problem:
+        given = given or {}
+        balanced = given.get("classWeight", self.getOrDefault(self.classWeight)) == "balanced"
+        return Problem(given.get("C", self.getOrDefault(self.C)), balanced, held, pair)
+
+    def _packed(self, dataset: DataFrame, fold: str | None = None, only: str | None = None):
+        return Packed(dataset, self.getFeaturesCol(), self.getLabelCol(), fold, only)
+
+
+class Packed:
+    """Stored blocks of a training table, with its classes and sizes."""
+
+    def __init__(self, dataset: DataFrame, features: str, label: str, fold=None, only=None):
+        labelled = dataset.filter(F.col(label).isNotNull())
+        found = labelled.select(label).distinct().limit(MAX_CLASSES + 1).collect()
+        if len(found) > MAX_CLASSES:
+            raise ValueError(f"{label} has more than {MAX_CLASSES} values")
+        self.classes = sorted(float(r[0]) for r in found)
+        number = F.lit(None).cast("int")
+        for i, c in enumerate(self.classes):
+            number = F.when(F.col(label) == c, i).otherwise(number)
+        rows, values = labelled.withColumn("_class", number), F.unwrap_udt(features)
+        size = F.max(F.coalesce(values["size"], F.size(values["values"])))
+        n, self.features = rows.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+        folds = rows.agg(F.coalesce(F.max(fold), F.lit(-1))).first()[0] + 1 if fold else 0
+        # Each pass is a job: more tasks than the rows are worth only cost time.
+        rows = rows.coalesce(max(1, -(-n // linear.ROWS_PER_TASK)))
+        self.path = stage_path(dataset.sparkSession, "blocks")
+        linear.pack_rows(rows, features, "_class", fold, only).write.parquet(self.path)
+        self.blocks = dataset.sparkSession.read.parquet(self.path).persist()
+        self.counts = linear.class_counts(self.blocks, max(1, len(self.classes)), int(folds))
+
+    def close(self) -> None:
+        self.blocks.unpersist()
+        remove_stage(self.blocks.sparkSession, self.path)
 
 
 class PenalisedLogisticRegression(
@@ -93,26 +114,29 @@ class PenalisedLogisticRegression(
         self._setDefault(C=1.0, classWeight="none", maxIter=1000)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset: DataFrame) -> LogisticRegressionModel:
-        rows, total = self._weighted(dataset)
-        inner = LogisticRegression(
-            family="multinomial",
-            elasticNetParam=0.0,
-            standardization=False,
-            regParam=1.0 / (self.getOrDefault(self.C) * total),
-            maxIter=self.getMaxIter(),
-            weightCol="_weight",
-            featuresCol=self.getFeaturesCol(),
-            labelCol=self.getLabelCol(),
-            predictionCol=self.getPredictionCol(),
-        )
-        return inner.fit(rows)
+    def pairs(self, packed: Packed) -> None:
+        return None
+
+    def solve(self, packed: Packed, asked: list[tuple[dict, int | None]]) -> list[Fit]:
+        """Fit ``(parameters, held-out fold)`` of each request. Requests that differ in the
+        iteration limit alone share one fit."""
+        limits = [g.get("maxIter", self.getMaxIter()) for g, _ in asked]
+        problems = [self._problem(g, held) for g, held in asked]
+        own = list(dict.fromkeys(problems))
+        fits = linear.fit_softmax(packed.blocks, own, limits, packed.counts, packed.features)
+        found = dict(zip(own, fits))
+        return [replace(f := found[p], coefficients=f.at.get(n, f.coefficients))
+                for p, n in zip(problems, limits)]
+
+    def _fit(self, dataset: DataFrame) -> "LinearModel":
+        return _fit_one(self, dataset)
 
 
 class PairwiseLinearSVC(
     Estimator, _Regularised, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter
 ):
-    """Linear support vector machines for every pair of classes, deciding by vote."""
+    """Linear support vector machines for every pair of classes, deciding by vote; ``maxIter``
+    counts rounds of the dual solver."""
 
     @keyword_only
     def __init__(self, *, C=1.0, classWeight="none", maxIter=1000, featuresCol="features",
@@ -121,113 +145,74 @@ class PairwiseLinearSVC(
         self._setDefault(C=1.0, classWeight="none", maxIter=1000)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset: DataFrame) -> "PairwiseLinearSVCModel":
-        rows, _ = self._weighted(dataset)
-        label = self.getLabelCol()
-        # One row per class.
-        totals = {
-            r[label]: r["w"] for r in rows.groupBy(label).agg(F.sum("_weight").alias("w")).collect()
-        }
-        pairs, models = [], []
-        for low, high in combinations(sorted(totals), 2):
-            pair = rows.filter(F.col(label).isin(low, high)).withColumn(
-                "_side", (F.col(label) == high).cast("double")
-            )
-            inner = LinearSVC(
-                regParam=1.0 / (self.getOrDefault(self.C) * (totals[low] + totals[high])),
-                standardization=False,
-                maxIter=self.getMaxIter(),
-                weightCol="_weight",
-                featuresCol=self.getFeaturesCol(),
-                labelCol="_side",
-            )
-            pairs.append((low, high))
-            models.append(inner.fit(pair))
-        model = PairwiseLinearSVCModel(pairs, models, sorted(totals))
-        return model._set(
-            featuresCol=self.getFeaturesCol(), predictionCol=self.getPredictionCol()
-        )
-
-
-class PairwiseLinearSVCModel(Model, HasFeaturesCol, HasPredictionCol):
-    def __init__(self, pairs=(), models=(), classes=()):
-        super().__init__()
-        self.pairs, self.models, self.classes = list(pairs), list(models), list(classes)
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        out, wins = dataset, []
-        for i, model in enumerate(self.models):
-            margin = f"_margin{i}"
-            out = (
-                model.copy()
-                .setFeaturesCol(self.getFeaturesCol())
-                .setRawPredictionCol(margin)
-                .setPredictionCol("")
-                .transform(out)
-            )
-            wins.append(F.get(vector_to_array(margin), F.lit(1)) > 0)
-
-        def votes(c: float) -> Column:
-            cast = [
-                (win if high == c else ~win).cast("int")
-                for (low, high), win in zip(self.pairs, wins)
-                if c in (low, high)
-            ]
-            return sum(cast[1:], cast[0]) if cast else F.lit(0)
-
-        # Equal votes go to the lower class number.
-        best = F.greatest(*[votes(c) for c in self.classes]) if len(self.classes) > 1 else None
-        choice = F.lit(self.classes[-1])
-        for c in reversed(self.classes[:-1]):
-            choice = F.when(votes(c) == best, F.lit(c)).otherwise(choice)
-        return out.withColumn(self.getPredictionCol(), choice).drop(
-            *[f"_margin{i}" for i in range(len(self.models))]
-        )
+    def pairs(self, packed: Packed) -> list[tuple[int, int]]:
+        return list(combinations(range(len(packed.classes)), 2))
+
+    def solve(self, packed: Packed, asked: list[tuple[dict, int | None]]) -> list[Fit]:
+        """Fit every pair of each request; a request's fits are joined to one."""
+        pairs = self.pairs(packed)
+        problems = [self._problem(g, held, pair) for g, held in asked for pair in pairs]
+        own = list(dict.fromkeys(problems))
+        limit = max([g.get("maxIter", self.getMaxIter()) for g, _ in asked])
+        found = dict(zip(own, linear.fit_hinge(packed.blocks, own, limit, packed.counts, packed.features)))
+        out = []
+        for at in range(0, len(problems), max(1, len(pairs))):
+            fits = [found[p] for p in problems[at : at + len(pairs)]]
+            out.append(Fit(
+                np.concatenate([f.coefficients for f in fits], 1), max(f.iterations for f in fits),
+                max(f.certificate for f in fits), all(f.converged for f in fits),
+            ))
+        return out or [Fit(np.zeros((packed.features + 1, 0)), 0, 0.0, True) for _ in asked]
+
+    def _fit(self, dataset: DataFrame) -> "LinearModel":
+        return _fit_one(self, dataset)
+
+
+def _fit_one(estimator, dataset: DataFrame) -> "LinearModel":
+    packed = estimator._packed(dataset)
+    try:
+        return _model(estimator, packed, estimator.solve(packed, [({}, None)])[0])
+    finally:
+        packed.close()
+
+
+def _model(estimator, packed: Packed, fit: Fit) -> "LinearModel":
+    if not fit.converged:
+        warnings.warn(f"not converged after {fit.iterations} iterations ({fit.certificate:.1e})")
+    model = LinearModel(fit.coefficients, packed.classes, estimator.pairs(packed), fit)
+    return model._set(
+        featuresCol=estimator.getFeaturesCol(), predictionCol=estimator.getPredictionCol()
+    )
 
 
-class Oversampled(Estimator):
-    """Fits another estimator on oversampled rows, so that inside cross-validation the
-    synthetic rows of a fold come from its own training rows only."""
+class LinearModel(Model, HasFeaturesCol, HasPredictionCol):
+    """A fitted classifier: the class of the greatest margin, or with ``pairs`` of the most
+    votes. ``coefficients`` has a column per class or pair, and the intercepts as last row."""
 
-    def __init__(self, inner: Estimator, row_id: str = "row_id", seed: int = 42):
+    def __init__(self, coefficients=None, classes=(), pairs=None, fit: Fit | None = None):
         super().__init__()
-        self.inner, self.row_id, self.seed = inner, row_id, seed
-
-    def copy(self, extra=None):
-        return Oversampled(self.inner.copy(extra), self.row_id, self.seed)
-
-    def _fit(self, dataset: DataFrame):
-        label, features = self.inner.getLabelCol(), self.inner.getFeaturesCol()
-        raised = smote(dataset, label, self.row_id, features, seed=self.seed)
-        raised = raised.withColumn(label, F.col(label).cast("double")).select(features, label)
-        raised = raised.persist()
-        try:
-            return self.inner.fit(raised)
-        finally:
-            raised.unpersist()
+        self.coefficients, self.classes, self.pairs = coefficients, list(classes), pairs
+        self.fitted = fit
 
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        sent = dataset.sparkSession.sparkContext.broadcast(self.coefficients)
+        classes, pairs = np.array(self.classes), self.pairs
 
-class MacroF1(Evaluator, HasLabelCol, HasPredictionCol):
-    """Unweighted mean F1 over the labels that occur in truth or prediction."""
+        @F.arrow_udf("double")
+        def decide(vectors: pa.Array) -> pa.Array:
+            margins = linear.margins(vectors, sent.value)
+            return pa.array(classes[linear.decide(margins, pairs, len(classes))])
 
-    def __init__(self, labelCol="label", predictionCol="prediction"):
-        super().__init__()
-        self._set(labelCol=labelCol, predictionCol=predictionCol)
+        return dataset.withColumn(
+            self.getPredictionCol(), decide(F.unwrap_udt(self.getFeaturesCol()))
+        )
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        y, p = self.getLabelCol(), self.getPredictionCol()
-        # At most classes squared rows.
-        cells = {(r[y], r[p]): r["count"] for r in dataset.groupBy(y, p).count().collect()}
-        labels = {c for pair in cells for c in pair}
-        scores = []
-        for c in labels:
-            both = cells.get((c, c), 0)
-            sides = sum(n * ((t == c) + (g == c)) for (t, g), n in cells.items())
-            scores.append(2.0 * both / sides if sides else 0.0)
-        return float(np.mean(scores)) if scores else 0.0
 
-    def isLargerBetter(self) -> bool:
-        return True
+def macro_f1(cells: np.ndarray) -> float:
+    """Unweighted mean F1 over the labels that occur in truth (rows) or decision (columns)."""
+    sides = cells.sum(0) + cells.sum(1)
+    known = sides > 0
+    return float(np.mean(2.0 * np.diag(cells)[known] / sides[known])) if known.any() else 0.0
 
 
 def param_maps(estimator: Estimator, grid: dict[str, list]) -> list[dict]:
@@ -239,29 +224,62 @@ def param_maps(estimator: Estimator, grid: dict[str, list]) -> list[dict]:
     ]
 
 
+@dataclass
+class Searched:
+    """The refitted best model, and by candidate the mean and deviation of its fold scores."""
+
+    bestModel: LinearModel
+    avgMetrics: list[float]
+    stdMetrics: list[float]
+    best: int
+
+
 def grid_search(
     train: DataFrame, estimator: Estimator, grid: dict[str, list], k: int = 5,
-    fold_col: str = "fold", parallelism: int = 4, oversample: str | None = None, seed: int = 42,
-) -> tuple[CrossValidatorModel, list[dict]]:
+    fold_col: str = "fold", oversample: str | None = None, seed: int = 42,
+) -> tuple[Searched, list[dict]]:
     """Try every combination on ``k`` given folds by macro F1 and refit the best on all
-    rows; the first of equals wins. ``oversample`` names the key column to apply SMOTE
-    inside each fold. The rows are cached by the caller and folds are a column, so
-    results repeat."""
-    maps = param_maps(estimator, grid)
-    search = CrossValidator(
-        estimator=Oversampled(estimator, oversample, seed) if oversample else estimator,
-        estimatorParamMaps=maps,
-        evaluator=MacroF1(),
-        numFolds=k,
-        foldCol=fold_col,
-        parallelism=parallelism,
-        collectSubModels=False,
-    )
-    return search.fit(train), [{p.name: v for p, v in m.items()} for m in maps]
+    rows; the first of equals wins. All candidates on all folds are fitted together.
+    ``oversample`` names the key column to apply SMOTE inside each fold."""
+    candidates = [{p.name: v for p, v in m.items()} for m in param_maps(estimator, grid)]
+    rows = train
+    if oversample:
+        rows = _oversampled(train, estimator, k, fold_col, oversample, seed)
+    packed = estimator._packed(rows, fold_col, "only" if oversample else None)
+    try:
+        asked = [(c, f) for c in candidates for f in range(k)]
+        fits = estimator.solve(packed, asked)
+        models = [(f, fit.coefficients) for (_, f), fit in zip(asked, fits)]
+        cells = linear.held_out_cells(
+            packed.blocks, models, len(packed.classes), estimator.pairs(packed)
+        )
+        scores = np.array([macro_f1(c) for c in cells]).reshape(len(candidates), k)
+        means = scores.mean(1)
+        best = int(means.argmax())
+        refit = estimator.solve(packed, [(candidates[best], None)])[0]
+        model = _model(estimator, packed, refit)
+    finally:
+        packed.close()
+    return Searched(model, means.tolist(), scores.std(1).tolist(), best), candidates
+
+
+def _oversampled(train: DataFrame, estimator, k: int, fold_col: str, key: str, seed: int) -> DataFrame:
+    """The rows, and for each fold and for the refit the synthetic rows that SMOTE makes from
+    its training rows; ``only`` says which (-2 for the refit)."""
+    label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
+    kind = train.schema[label].dataType
+    wanted = [features, F.col(label).cast(kind).alias(label), fold_col, "only"]
+    out = train.withColumn("only", F.lit(None).cast("int")).select(*wanted)
+    for only in [*range(k), -2]:
+        own = train if only == -2 else train.filter(F.col(fold_col) != only)
+        made = smote(own, label, key, features, seed=seed).filter("synthetic")
+        made = made.withColumn(fold_col, F.lit(None).cast("int")).withColumn("only", F.lit(only))
+        out = out.unionByName(made.select(*wanted))
+    return materialize(out, "oversampled", [features])
 
 
 def cv_results(
-    spark: SparkSession, fitted: CrossValidatorModel, candidates: list[dict], top: int | None = 10
+    spark: SparkSession, fitted: Searched, candidates: list[dict], top: int | None = 10
 ) -> DataFrame:
     """``(candidate, rank_test_score, mean_test_score, std_test_score, param_*)``.
 
@@ -342,25 +360,20 @@ def evaluate_models(
 # --- storage -------------------------------------------------------------------------------
 
 
-def save_model(model: Model, path: str) -> None:
-    """Save a fitted classifier; a pairwise model is a folder of its pair models."""
-    if not isinstance(model, PairwiseLinearSVCModel):
-        model.write().overwrite().save(path)
-        return
+def save_model(model: LinearModel, path: str) -> None:
+    """Save a fitted classifier: a row of coefficients for each class or pair."""
     spark = SparkSession.getActiveSession()
-    for i, inner in enumerate(model.models):
-        inner.write().overwrite().save(f"{path}/pair{i}")
-    rows = [(i, low, high) for i, (low, high) in enumerate(model.pairs)]
-    index = spark.createDataFrame(rows, "pair int, low double, high double")
-    index.coalesce(1).write.mode("overwrite").parquet(f"{path}/pairs")
-
-
-def load_logreg(path: str) -> LogisticRegressionModel:
-    return LogisticRegressionModel.load(path)
+    named = model.pairs if model.pairs is not None else [(i, None) for i in range(len(model.classes))]
+    rows = [
+        (i, low, high, model.classes, [float(x) for x in column])
+        for i, ((low, high), column) in enumerate(zip(named, model.coefficients.T))
+    ]
+    columns = "row int, low int, high int, classes array<double>, coefficients array<double>"
+    spark.createDataFrame(rows, columns).coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def load_pairwise_svm(spark: SparkSession, path: str) -> PairwiseLinearSVCModel:
-    rows = spark.read.parquet(f"{path}/pairs").orderBy("pair").collect()
-    models = [LinearSVCModel.load(f"{path}/pair{r['pair']}") for r in rows]
-    pairs = [(r["low"], r["high"]) for r in rows]
-    return PairwiseLinearSVCModel(pairs, models, sorted({c for pair in pairs for c in pair}))
+def load_model(spark: SparkSession, path: str) -> LinearModel:
+    """Read a saved classifier; as many rows as it has classes or pairs."""
+    rows = spark.read.parquet(path).orderBy("row").collect()
+    pairs = [(r.low, r.high) for r in rows] if rows and rows[0].high is not None else None
+    return LinearModel(np.array([r.coefficients for r in rows]).T, rows[0].classes, pairs)

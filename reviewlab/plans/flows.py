@@ -97,7 +97,6 @@ def build_features(
 def train_classifier(
     features: DataFrame, out_dir: str, kind: str = "logreg", split: str = "group", k: int = 5,
     seed: int = 42, use_smote: bool = True, grid: dict[str, list] | None = None,
-    parallelism: int = 4,
 ):
     """Split, balance, tune, refit, predict the hold-out, write. Returns the best model.
 
@@ -137,7 +136,7 @@ def train_classifier(
         estimator, grid = classify.PenalisedLogisticRegression(), grid or classify.LOGREG_GRID
     else:
         estimator, grid = classify.PairwiseLinearSVC(), grid or classify.SVM_GRID
-    fitted, candidates = classify.grid_search(train, estimator, grid, k, parallelism=parallelism)
+    fitted, candidates = classify.grid_search(train, estimator, grid, k)
     train.unpersist()
     model = fitted.bestModel
     classify.save_model(model, f"{out_dir}/model")

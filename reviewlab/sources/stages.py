@@ -45,12 +45,23 @@ def read_stage(
     return reader.format(fmt).load(path)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared scratch folder."""
+    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_stage(spark: SparkSession, path: str) -> None:
+    """Delete a stage table that its owner needs no more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str = "stage", vectors: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back, which cuts its lineage
     and survives the loss of executors. The columns in ``vectors`` hold the structs vectors
     are stored as, and come back as vectors."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(_with_vectors(df.schema, vectors)).parquet(path)
 

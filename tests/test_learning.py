@@ -110,7 +110,7 @@ def test_classifiers_separate_the_clouds_and_survive_storage(spark, points, tmp_
     assert predicted.filter("y_true = y_pred").count() == 61
     path = str(tmp_path / "model")
     classify.save_model(model, path)
-    loaded = classify.load_logreg(path) if kind == "logreg" else classify.load_pairwise_svm(spark, path)
+    loaded = classify.load_model(spark, path)
     assert {tuple(r) for r in classify.predict(rows, loaded).collect()} == {
         tuple(r) for r in predicted.collect()
     }
