@@ -7,7 +7,6 @@ from dataclasses import dataclass, replace
 from itertools import combinations, product
 
 import numpy as np
-import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
 from reviewlab.operators import linear
 from reviewlab.operators.evaluate import classification_metrics, confusion_matrix
+from reviewlab.operators.joins import lookup_join
 from reviewlab.operators.linear import Fit, Problem
 from reviewlab.operators.smote import smote
 from reviewlab.schema import CLASS_ORDER
@@ -161,6 +161,7 @@ class PairwiseLinearSVC(
             out.append(Fit(
                 np.concatenate([f.coefficients for f in fits], 1), max(f.iterations for f in fits),
                 max(f.certificate for f in fits), all(f.converged for f in fits),
+                bounds=tuple(b for f in fits for b in f.bounds),
             ))
         return out or [Fit(np.zeros((packed.features + 1, 0)), 0, 0.0, True) for _ in asked]
 
@@ -196,15 +197,9 @@ class LinearModel(Model, HasFeaturesCol, HasPredictionCol):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         sent = dataset.sparkSession.sparkContext.broadcast(self.coefficients)
-        classes, pairs = np.array(self.classes), self.pairs
-
-        @F.arrow_udf("double")
-        def decide(vectors: pa.Array) -> pa.Array:
-            margins = linear.margins(vectors, sent.value)
-            return pa.array(classes[linear.decide(margins, pairs, len(classes))])
-
+        vectors = F.unwrap_udt(self.getFeaturesCol())
         return dataset.withColumn(
-            self.getPredictionCol(), decide(F.unwrap_udt(self.getFeaturesCol()))
+            self.getPredictionCol(), linear.decision(vectors, sent, self.classes, self.pairs)
         )
 
 
@@ -278,6 +273,90 @@ def _oversampled(train: DataFrame, estimator, k: int, fold_col: str, key: str, s
     return materialize(out, "oversampled", [features])
 
 
+def certificates(
+    train: DataFrame, estimator: Estimator, candidates: list[dict], row_id: str = "row_id"
+) -> DataFrame:
+    """``(candidate, n_rows, measure)``: how far each candidate's fit is from the optimum.
+
+    The measure is computed anew from the coefficients and the rows, by joins on the features:
+    the gradient's length per row weight of a softmax fit, and the duality gap of a pairwise fit
+    as a share of its loss (the largest of the pairs).
+    """
+    spark, label = train.sparkSession, estimator.getLabelCol()
+    packed = estimator._packed(train)
+    try:
+        fits = estimator.solve(packed, [(c, None) for c in candidates])
+        pairs = estimator.pairs(packed)
+        problems = [estimator._problem(c) for c in candidates]
+        weights, _ = linear.row_weights(problems, packed.counts)
+        n_rows = int(packed.counts.sum())
+    finally:
+        packed.close()
+    # A row per candidate and column: as many as the grid and the classes have.
+    sides = pairs if pairs is not None else [(i, i) for i in range(len(packed.classes))]
+    rows = [
+        (j, low, high, problems[j].C, [float(x) for x in weights[j]],
+         float(fit.bounds[k]) if fit.bounds else None, [float(x) for x in fit.coefficients[:, k]])
+        for j, fit in enumerate(fits) for k, (low, high) in enumerate(sides)
+    ]
+    columns = spark.createDataFrame(
+        rows, "candidate int, low int, high int, C double, weights array<double>, bound double, w array<double>"
+    )
+    columns = columns.withColumn("intercept", F.element_at("w", -1))
+    w = columns.select("candidate", "low", "high", "C", F.posexplode("w").alias("feature", "w"))
+    w = w.filter(F.col("feature") < packed.features)
+
+    classes = F.array(*[F.lit(c) for c in packed.classes])
+    own = (F.array_position(classes, F.col(label).cast("double")) - 1).cast("int")
+    points = train.filter(F.col(label).isNotNull()).select(
+        F.col(row_id).alias("row"), own.alias("y"), F.unwrap_udt(estimator.getFeaturesCol()).alias("v")
+    )
+    index = F.coalesce(F.col("v.indices"), F.sequence(F.lit(0), F.size("v.values") - 1))
+    terms = points.select("row", F.explode(F.arrays_zip(index.alias("i"), F.col("v.values").alias("x"))).alias("t"))
+    terms = terms.select("row", F.col("t.i").alias("feature"), F.col("t.x").alias("x"))
+    key = ["candidate", "low", "high"]
+    dots = lookup_join(terms, w.filter("w <> 0"), "feature", 2_000_000, "inner")
+    dots = dots.groupBy("row", *key).agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    heads = columns.drop("w")
+    # Every row meets every candidate, of which there are as many as the grid has.
+    every = F.explode(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(key, r)]) for r in rows]))
+    margins = (
+        points.select("row", "y", every.alias("k")).select("row", "y", "k.*")
+        .join(F.broadcast(heads), key)
+        .join(dots, ["row", *key], "left")
+        .withColumn("margin", F.coalesce("dot", F.lit(0.0)) + F.col("intercept"))
+        .withColumn("weight", F.get("weights", F.col("y")))
+    )
+    norms = w.groupBy(*key).agg(F.sum(F.col("w") * F.col("w")).alias("square"))
+    if pairs is not None:
+        side = F.when(F.col("y") == F.col("high"), 1.0).otherwise(-1.0)
+        losses = margins.filter("y = low OR y = high").groupBy(*key).agg(
+            F.sum(F.col("weight") * F.greatest(F.lit(0.0), 1 - side * F.col("margin"))).alias("loss")
+        )
+        value = F.col("square") / 2 + F.col("C") * F.coalesce("loss", F.lit(0.0))
+        gaps = heads.join(norms, key).join(losses, key, "left").withColumn("value", value)
+        gap = (F.col("value") - F.col("bound")) / F.col("value")
+        measured = gaps.groupBy("candidate").agg(F.max(gap).alias("measure"))
+    else:
+        across = Window.partitionBy("row", "candidate")
+        top = F.exp(F.col("margin") - F.max("margin").over(across))
+        part = margins.withColumn("part", top).withColumn("part", F.col("part") / F.sum("part").over(across))
+        residual = F.col("weight") * (F.col("part") - (F.col("y") == F.col("low")).cast("int"))
+        residuals = materialize(
+            part.select("row", *key, residual.alias("r"), "weight"), "residuals"
+        )
+        slopes = terms.join(residuals, "row").groupBy("feature", *key).agg(F.sum(F.col("x") * F.col("r")).alias("g"))
+        totals = residuals.filter("low = 0").groupBy("candidate").agg(F.sum("weight").alias("total"))
+        slopes = w.join(slopes, ["feature", *key], "left").select(
+            "candidate", (F.coalesce("g", F.lit(0.0)) + F.col("w") / F.col("C")).alias("g")
+        ).unionByName(residuals.groupBy(*key).agg(F.sum("r").alias("g")).select("candidate", "g"))
+        measured = slopes.groupBy("candidate").agg(F.sqrt(F.sum(F.col("g") * F.col("g"))).alias("g"))
+        measured = measured.join(totals, "candidate").select(
+            "candidate", (F.col("g") / F.col("total")).alias("measure")
+        )
+    return measured.select("candidate", F.lit(n_rows).cast("bigint").alias("n_rows"), "measure")
+
+
 def cv_results(
     spark: SparkSession, fitted: Searched, candidates: list[dict], top: int | None = 10
 ) -> DataFrame:
