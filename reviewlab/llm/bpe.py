@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -25,7 +25,10 @@ from tokenizers import Tokenizer
 from reviewlab.llm.common import fields, map_rows, short_batches
 
 #: Chunks between white space whose ids a worker remembers, in each of two generations.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 300_000
+#: Words whose ids a worker remembers, likewise: chunks with the same word and other
+#: punctuation share it.
+CACHE_WORDS = 100_000
 #: Token pairs whose compatibility a worker remembers before it starts afresh.
 CACHE_PAIRS = 500_000
 #: Stands for the end of a word inside the automaton; no byte is written this way.
@@ -45,6 +48,28 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in printable else chr(next(moved)) for b in range(256)]
 
 
+class Remembered(dict):
+    """Ids by chunk or word: a full generation becomes the old one, and what was in the old one
+    and not asked for since is forgotten."""
+
+    def __init__(self, encode: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.encode, self.most = encode, most
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.old.get(text)
+        if ids is None:
+            ids = self.encode(text)
+            if len(text) > 64:
+                return ids
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[text] = ids
+        return ids
+
+
 class WordVocabulary:
     """A vocabulary whose words end in a marked symbol, with its pair test and automaton."""
 
@@ -87,6 +112,8 @@ class WordVocabulary:
             self.automaton.add_word(word, (len(word), i))
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
+        self.symbol_words = Remembered(self._word_ids, CACHE_WORDS)
+        self.ascii_words = Remembered(lambda w: self._word_ids(w.translate(self.fold)), CACHE_WORDS)
 
         escaped = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(escaped) + ")") if escaped else None
@@ -148,47 +175,27 @@ class WordVocabulary:
         ids.reverse()
         return ids
 
+    def _word_ids(self, word: str) -> bytes:
+        return array("I", self.encode_word(word)).tobytes()
+
     def encode_chunk(self, chunk: str) -> bytes:
         """Ids, as little-endian 32-bit integers, of a text without white space."""
-        ids: list[int] = []
+        ids: list[bytes] = []
         for part in self.specials.split(chunk) if self.specials else [chunk]:
             if part in self.special:
-                ids.append(self.special[part])
+                ids.append(array("I", [self.special[part]]).tobytes())
             elif part.isascii():
-                for word in self.words.findall(part.lower()):
-                    ids += self.encode_word(word.translate(self.fold))
+                ids += map(self.ascii_words.__getitem__, self.words.findall(part.lower()))
             else:
-                for word, _ in self.pre_tokenize(self.normalize(part)):
-                    ids += self.encode_word(word)
-        return array("I", ids).tobytes()
+                found = self.pre_tokenize(self.normalize(part))
+                ids += [self.symbol_words[word] for word, _ in found]
+        return b"".join(ids)
 
     def decode(self, ids: bytes) -> str:
         """Token strings joined by spaces: what a vocabulary without a decoder prints."""
         return " ".join(map(self.text.__getitem__, array("I", ids)))
 
 
-class Remembered(dict):
-    """Ids by chunk: a full generation becomes the old one, and what was in the old one and
-    not asked for since is forgotten."""
-
-    def __init__(self, vocabulary: WordVocabulary):
-        super().__init__()
-        self.encode = vocabulary.encode_chunk
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:
-            ids = self.encode(chunk)
-            if len(chunk) > 64:
-                return ids
-        if len(self) >= CACHE_CHUNKS:
-            self.old = dict(self)
-            self.clear()
-        self[chunk] = ids
-        return ids
-
-
 @lru_cache(maxsize=2)
 def load(path: str) -> WordVocabulary:
     """The vocabulary in a tokenizer file, once per process."""
@@ -198,7 +205,7 @@ def load(path: str) -> WordVocabulary:
 
 @lru_cache(maxsize=2)
 def remembered(path: str) -> Remembered:
-    return Remembered(load(path))
+    return Remembered(load(path).encode_chunk, CACHE_CHUNKS)
 
 
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
