@@ -188,7 +188,7 @@ FROM c""")
 def smote_counts(spark, sf):
     """Rows per class after oversampling, and how many of them are synthetic."""
     df = v.table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
-    raised = oversample(df, "label", "vec_id", "embedding", dims=64)
+    raised = oversample(df, "label", "vec_id", "embedding")
     return raised.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("synthetic")
     )
@@ -197,4 +197,45 @@ def smote_counts(spark, sf):
 @query()
 def smote(spark, sf):
     df = v.table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
-    return oversample(df, "label", "vec_id", "embedding", dims=64)
+    return oversample(df, "label", "vec_id", "embedding")
+
+
+_SMOTE_SQL = f"""
+WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(label AS VARCHAR) AS label,
+             CAST(embedding AS DOUBLE[]) AS x, {v.hash_sql('vec_id')} AS h
+           FROM embeddings WHERE label IS NOT NULL),
+c AS (SELECT label, count(*) AS n, max(count(*)) OVER () AS most,
+        CASE WHEN min(count(*)) OVER () > 6 THEN 5 ELSE min(count(*)) OVER () - 1 END AS k
+      FROM e GROUP BY label),
+bases AS (SELECT e.*, n, k, (most - n) // n + CAST(row_number() OVER (
+            PARTITION BY label ORDER BY h, id) <= (most - n) % n AS INTEGER) AS turns
+          FROM e JOIN c USING (label) WHERE n < most),
+pairs AS (SELECT a.label, a.id AS q, b.id AS nb, a.turns, a.x AS x, b.x AS y,
+            least(a.k, a.n - 1) AS k, a.h AS h, row_number() OVER (PARTITION BY a.id ORDER BY
+              list_sum(list_transform(list_zip(a.x, b.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS rank
+          FROM bases a JOIN e b ON a.label = b.label AND a.id <> b.id),
+shares AS (SELECT *, ((rank - 1 - h % k) % k + k) % k AS first FROM pairs WHERE rank <= k),
+made AS (SELECT *, unnest(range(CASE WHEN turns > first THEN (turns - 1 - first) // k + 1 ELSE 0 END)) AS number
+         FROM shares),
+named AS (SELECT *, q || '/' || rank || '/' || number AS row_id FROM made),
+drawn AS (SELECT *, ({v.hash_sql('row_id')} >> 8) / CAST(4503599627370496 AS DOUBLE) AS u
+          FROM (SELECT label, q, nb, x, y, row_id FROM named) AS s)
+SELECT row_id, label, q AS base_id, nb AS neighbour_id,
+  round(list_sum(list_transform(list_zip(x, y), lambda p: p[1] + u * (p[2] - p[1]))), 3) AS total
+FROM drawn"""
+
+
+@query(_SMOTE_SQL)
+def smote_rows(spark, sf):
+    """Every synthetic row with its base, its neighbour and the sum of its components."""
+    made = smote(spark, sf).filter("synthetic")
+    total = F.aggregate(
+        F.col("embedding").cast("array<double>"), F.lit(0.0).cast("double"), lambda a, x: a + x
+    )
+    return made.select(
+        F.col("vec_id").alias("row_id"),
+        "label",
+        "base_id",
+        "neighbour_id",
+        F.round(total, 3).alias("total"),
+    )

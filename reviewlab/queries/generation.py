@@ -127,3 +127,22 @@ def generate_summaries(spark, sf):
     """The first ten long texts through a generator that needs no prompt."""
     out = g.generate_summaries(v.docs(spark, sf), _quoting)
     return out.select("review_id", "generated_summary")
+
+
+@query("""SELECT step, status, message FROM (
+  SELECT 'count' AS step, 'ok' AS status, CAST(NULL AS VARCHAR) AS message
+  UNION ALL SELECT 'check', 'error', count(*) || ' turns are empty or missing' FROM conversations
+    WHERE text IS NULL OR text = ''
+  UNION ALL SELECT 'later', 'ok', NULL
+  UNION ALL SELECT 'left out', 'skipped', NULL)""")
+def step_status(spark, sf):
+    """Steps over the conversations, one of which fails."""
+    turns = v.table(spark, sf, "conversations")
+
+    def check() -> None:
+        n = turns.filter("text IS NULL OR text = ''").count()
+        raise ValueError(f"{n} turns are empty or missing")
+
+    return g.step_status(
+        spark, {"count": turns.count, "check": check, "later": turns.count, "left out": None}
+    )

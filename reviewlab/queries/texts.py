@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlab.operators import classify, evaluate, lexicon, tfidf
+from reviewlab.plans import prepare
 from reviewlab.queries import views as v
 from reviewlab.queries.registry import query
 
@@ -286,3 +287,43 @@ FROM labeled_docs GROUP BY sentiment""")
 def class_weights(spark, sf):
     df = classify.class_weights(v.labeled_docs(spark, sf))
     return df.withColumn("weight", F.round("weight", 6))
+
+
+_RAW_SQL = """raw AS (
+  SELECT review_id, CAST(overall AS VARCHAR) AS overall, asin AS summary, text AS body, asin
+  FROM labeled_docs
+  UNION ALL SELECT -review_id - 1, 'none', asin, text, asin FROM labeled_docs WHERE review_id % 5 = 0
+  UNION ALL SELECT -review_id - 100000001, ' 4.5 ', NULL, NULL, asin FROM labeled_docs
+    WHERE review_id % 7 = 0
+  UNION ALL SELECT -review_id - 200000001, '2', '', ' ' || text, NULL FROM labeled_docs
+    WHERE review_id % 3 = 0)"""
+
+
+@query(f"""{v.with_views(v.LABELED_DOCS, _RAW_SQL)},
+parsed AS (SELECT *, TRY_CAST(trim(overall) AS DOUBLE) AS stars,
+  {v.strip_sql("coalesce(summary, '') || ' ' || coalesce(body, '')")} AS text_raw FROM raw),
+cleaned AS (SELECT *, {v.clean_sql('text_raw')} AS text FROM parsed WHERE stars IS NOT NULL)
+SELECT review_id, stars AS overall, {v.label_sql('stars')} AS sentiment, text, text_raw,
+  CAST(len({v.split_words_sql('text')}) AS INTEGER) AS word_len,
+  CAST(length(text) AS INTEGER) AS char_len, asin
+FROM cleaned WHERE text <> '' AND {v.label_sql('stars')} IS NOT NULL""")
+def prepare_reviews(spark, sf):
+    """Labelled and cleaned rows of the documents, with rows added that lack a rating or text."""
+    docs = v.labeled_docs(spark, sf).select(
+        "review_id", F.col("overall").cast("string").alias("overall"),
+        F.col("asin").alias("summary"), F.col("text").alias("reviewText"), "asin",
+    )
+    none = F.lit(None).cast("string")
+    unrated = docs.filter("review_id % 5 = 0").withColumns(
+        {"review_id": -F.col("review_id") - 1, "overall": F.lit("none")}
+    )
+    empty = docs.filter("review_id % 7 = 0").withColumns(
+        {"review_id": -F.col("review_id") - 100_000_001, "overall": F.lit(" 4.5 "),
+         "summary": none, "reviewText": none}
+    )
+    bare = docs.filter("review_id % 3 = 0").withColumns(
+        {"review_id": -F.col("review_id") - 200_000_001, "overall": F.lit("2"),
+         "summary": F.lit(""), "reviewText": F.concat(F.lit(" "), "reviewText"), "asin": none}
+    )
+    raw = docs.unionByName(unrated).unionByName(empty).unionByName(bare)
+    return prepare.prepare_reviews(raw)
