@@ -25,7 +25,7 @@ gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -317,6 +317,33 @@ def repeated_spans(
     that windows standing elsewhere too cover."""
     short_batches(docs.sparkSession)
     found = materialize(stretch_table(docs, id_col, text_col, length, phrase), "stretches")
+
+    def large(distinct: DataFrame) -> DataFrame:
+        return distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group)
+
+    return spans_of_stretches(
+        found,
+        lambda distinct: _texts_of(distinct, docs, id_col, text_col, length),
+        large,
+        lambda texts: _by_automata(texts, length, shard_windows),
+        lambda texts: _by_counts(texts, length),
+        length,
+    )
+
+
+Step = Callable[[DataFrame], DataFrame]
+
+
+def spans_of_stretches(
+    found: DataFrame, cut: Step, large: Step, by_shard: Step, by_count: Step, length: int
+) -> DataFrame:
+    """``(id, digest, begin, end)``: what repeated windows cover, from the stored stretches
+    ``(id, digest, key, begin, windows, content)``.
+
+    Keys and stretches are counted; where the stretches of a key differ, ``cut`` fetches each
+    distinct one once, and ``by_shard``, or ``by_count`` for the keys that ``large`` names, finds
+    the places inside it that stand in another one.
+    """
     phrases = found.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), (F.min("content") != F.max("content")).alias("differ")
     )
@@ -331,14 +358,11 @@ def repeated_spans(
         .select("key", "content", "n", "rep.*")
     )
     distinct = materialize(distinct, "distinct")
-    texts = materialize(_texts_of(distinct, docs, id_col, text_col, length), "stretch-words")
-    per_phrase = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group)
-    large = materialize(per_phrase, "large-phrases")
-    in_large = join_counted(texts.withColumnRenamed("n", "copies"), large, ["key"]).drop("n")
-    in_shards = texts.join(large.select("key"), "key", "left_anti")
-    places = _by_automata(in_shards, length, shard_windows).unionByName(
-        _by_counts(in_large.withColumnRenamed("copies", "n"), length)
-    )
+    texts = materialize(cut(distinct), "stretch-words")
+    many = materialize(large(distinct), "large-phrases")
+    in_large = join_counted(texts.withColumnRenamed("n", "copies"), many, ["key"]).drop("n")
+    in_shards = texts.join(many.select("key"), "key", "left_anti")
+    places = by_shard(in_shards).unionByName(by_count(in_large.withColumnRenamed("copies", "n")))
     places = places.groupBy("key", "content").agg(
         F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("places")
     )

@@ -1,17 +1,19 @@
 """Removal of byte strings that occur elsewhere, by suffix arrays over shards.
 
-Every stretch of ``LENGTH`` bytes has an anchor: the start of its least hashed gram. Equal
-stretches have equal anchors at equal places, so stretches need comparing only around anchors
-of one hash. All stretches with one anchor lie inside the anchor's context. Contexts are
-counted first: one that occurs twice is repeated as a whole, and a hash with one occurrence
-needs no more. What remains are distinct contexts
-of one hash. Their stretches are cut into ranges, which are counted in the same way under a hash
-of the bytes that all stretches of a range share; what still differs are the borders of copied
-passages. Shards of these are suffix-sorted by induced sorting, and the permuted common prefixes
-tell which stretches another place shares.
-
-A hash with more ranges than a shard holds is split into single stretches, which are counted: no
-group must fit in a task.
+A window is ``LENGTH`` bytes. Each has an anchor: the start of its least hashed gram, the first
+of equals. Equal windows have equal anchors at equal places, so windows need comparing only
+where an anchor's gram recurs. The windows that share one anchor are consecutive and form a
+stretch, known by the hash of its gram and a hash of its bytes, 128 bits together. Grams and
+stretches are counted first: a gram that occurs once needs no more, and where all stretches of
+a gram are the same they are repeated as a whole.
+
+What remains are the borders of copied passages: grams with stretches that differ. Each distinct
+stretch is cut once, with the number of its copies, and dealt by gram to shards of bounded
+size. Shards are suffix-sorted by induced sorting, and the permuted common prefixes tell which
+windows another stretch shares.
+
+A gram with more bytes of different stretches than a shard holds is counted window by window:
+no group must fit in a task.
 
 Edge cases: a null text counts as empty; texts shorter than ``LENGTH`` lose nothing; repeated
 rows are copies of each other; other columns are ignored; an empty table gives an empty table.
@@ -19,28 +21,23 @@ rows are copies of each other; other columns are ignored; an empty table gives a
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from reviewlab.llm.common import fields, map_rows, short_batches
+from reviewlab.llm.phrase_dedup import PLACES, range_hashes, spans_of_stretches
 from reviewlab.llm.suffix_array import joined, suffix_array
-from reviewlab.operators.joins import salted_join
 from reviewlab.sources.stages import materialize
 
 LENGTH = 400
 #: Bytes of the gram whose hash selects an anchor. Longer ones make more anchors and fewer
-#: that occur by chance in stretches that differ.
-GRAM = 200
-#: Bytes of one suffix array, about; a larger group of contexts is split.
+#: that occur by chance in windows that differ.
+GRAM = 80
+#: Bytes of one suffix array, about; a larger group of stretches is counted.
 SHARD_BYTES = 2_000_000
-#: Ranges into which the stretches of a context are cut.
-RANGES = 4
-#: Parts over which the rows of one key are dealt in joins with a table of keys.
-SALTS = 8
 U = np.uint64
 FACTOR = 0x9E3779B97F4A7C15
 MIX1, MIX2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -79,118 +76,82 @@ def _sliding(x: np.ndarray, width: int, best: np.ufunc, rest: int) -> np.ndarray
     return best(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors_of(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple:
-    """Positions and hashes of the anchors of all stretches; of equal hashes all positions."""
-    if len(raw) < length:
-        return np.empty(0, np.int64), np.empty(0, U)
-    hashes, width = gram_hashes(raw, gram), length - gram + 1
-    least = _sliding(hashes, width, np.minimum, (1 << 64) - 1)
-    ends = np.zeros(width - 1, U)
-    most = _sliding(np.concatenate((ends, least, ends)), width, np.maximum, 0)
-    at = np.flatnonzero(most == hashes)
-    return at, hashes[at]
-
-
-def _digest(raw: bytes, at: int) -> int:
-    """A 64-bit number that stands for bytes with a place in them, under one key."""
-    d = hashlib.blake2b(raw, digest_size=8, salt=at.to_bytes(4, "little")).digest()
-    return int.from_bytes(d, "little", signed=True)
+def anchored(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """``(key, begin, windows, content)`` of each stretch of a text: the hash of its anchor's gram,
+    its first window, how many it has, and the hash of its bytes."""
+    n = len(raw) - length + 1
+    if n < 1:
+        return (np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U))
+    hashes = gram_hashes(raw, gram)
+    # The upper half of the hash decides, then the place: of equals the first.
+    marked = (hashes >> U(32) << U(32)) | np.arange(len(hashes), dtype=U)
+    anchor = _sliding(marked, length - gram + 1, np.minimum, (1 << 64) - 1) & U(0xFFFFFFFF)
+    begin = np.concatenate(([0], np.flatnonzero(np.diff(anchor)) + 1))
+    windows = np.diff(np.append(begin, n))
+    content = range_hashes(raw.astype(U) + U(1), begin, begin + windows + length - 1)
+    return hashes[anchor[begin].astype(np.int64)], begin, windows, content
 
 
-def _bounds(at: int, n: int, length: int, gram: int) -> tuple[int, int]:
-    return max(0, at - (length - gram)), min(n, at + length)
-
-
-def anchor_table(
+def stretch_table(
     docs: DataFrame, id_col: str, text_col: str, length: int, gram: int
 ) -> DataFrame:
-    """``(id, digest, begin, end, pos, key, content)`` of every anchor of every row: the
-    context's place, the anchor's place and hash, and the context's digest."""
-    longs = ("digest", "begin", "end", "pos", "key", "content")
-    schema = T.StructType(
-        [T.StructField("id", docs.schema[id_col].dataType)]
-        + [T.StructField(n, T.LongType()) for n in longs]
-    )
+    """``(id, digest, key, begin, windows, content)`` of every stretch of every row."""
+    rows = _rows(docs, id_col, text_col)
+    longs = ("digest", "key", "begin", "windows", "content")
+    schema = T.StructType([*fields(rows, "id"), *(T.StructField(n, T.LongType()) for n in longs)])
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         for columns in batches:
-            rows, found = [], {n: [] for n in longs[1:]}
-            for k, text in enumerate(columns[text_col].to_pylist()):
+            parts = []
+            for text in columns["text"].to_pylist():
                 raw = (text or "").encode("utf-8", "replace")
-                at, hashes = anchors_of(np.frombuffer(raw, np.uint8), length, gram)
-                rows += [k] * len(at)
-                found["key"].append(hashes.view(np.int64))
-                found["pos"].append(at)
-                for p in at.tolist():
-                    begin, end = _bounds(p, len(raw), length, gram)
-                    found["begin"].append(begin)
-                    found["end"].append(end)
-                    found["content"].append(_digest(raw[begin:end], p - begin))
-            take = pa.array(rows, pa.int64())
-            out = {n: columns[c].take(take) for n, c in (("id", id_col), ("digest", "digest"))}
-            for name in ("begin", "end", "content"):
-                out[name] = pa.array(found[name], pa.int64())
-            for name in ("pos", "key"):
-                parts = found[name]
-                out[name] = pa.array(np.concatenate(parts) if parts else [], pa.int64())
-            yield out
+                parts.append(anchored(np.frombuffer(raw, np.uint8), length, gram))
+            which = pa.array(np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts]))
+            key, begin, windows, content = (np.concatenate(x) for x in zip(*parts))
+            yield {
+                "id": columns["id"].take(which),
+                "digest": columns["digest"].take(which),
+                "key": pa.array(key.view(np.int64)),
+                "begin": pa.array(begin),
+                "windows": pa.array(windows),
+                "content": pa.array(content.view(np.int64)),
+            }
 
-    rows = docs.select(id_col, text_col, F.xxhash64(text_col).alias("digest"))
     return map_rows(rows, work, schema)
 
 
-def _salted(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join with a table of distinct keys, the rows of a key dealt to ``SALTS`` parts."""
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    salt = F.pmod(F.xxhash64("id", "begin"), F.lit(SALTS))
-    return (
-        rows.withColumn("salt", salt)
-        .join(keys.withColumn("salt", F.explode(salts)), [*on, "salt"])
-        .drop("salt")
-    )
-
-
-def _repeated_whole(units: DataFrame, often: Column | None = None) -> DataFrame:
-    """Spans of the units whose key and content occur more than once: as ``often`` tells, or
-    else by the places ``n`` that units stand for."""
-    often = F.sum("n") > 1 if often is None else often
-    twice = units.groupBy("key", "content").agg(often.alias("often")).filter("often")
-    return _salted(units, twice.drop("often"), ["key", "content"]).select(
-        "id", "digest", "begin", "end"
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("digest")
     )
 
 
-def _cut_contexts(
-    docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
-) -> DataFrame:
-    """``wanted`` (id, digest, begin, end, …) with the bytes between begin and end."""
-    rest = [c for c in wanted.columns if c not in ("id", "digest")]
-    lists = wanted.groupBy(F.col("id").alias("w_id"), F.col("digest").alias("w_digest")).agg(
-        F.collect_list(F.struct(*rest)).alias("units")
+def _cut(distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+    """``(key, content, n, bytes)``: each distinct stretch, from one text with it."""
+    stretch = F.struct("key", "content", "n", "begin", "windows")
+    asked = distinct.groupBy(F.col("id").alias("a_id"), F.col("digest").alias("a_digest")).agg(
+        F.collect_list(stretch).alias("asked")
     )
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text")
-    )
-    joined = rows.join(
-        lists, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("digest") == F.col("w_digest"))
-    ).select("id", "digest", "text", "units")
+    joined_ = _rows(docs, id_col, text_col).join(
+        asked, F.col("id").eqNullSafe(F.col("a_id")) & (F.col("digest") == F.col("a_digest"))
+    ).select("text", "asked")
+    names = ("key", "content", "n")
     schema = T.StructType(
-        [*fields(wanted, "id", "digest", *rest), T.StructField("bytes", T.BinaryType())]
+        [*(T.StructField(n, T.LongType()) for n in names), T.StructField("bytes", T.BinaryType())]
     )
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         for columns in batches:
-            units, owner, cut = columns["units"], [], []
-            flat = units.flatten()
-            for k, (text, own) in enumerate(zip(columns["text"].to_pylist(), units.to_pylist())):
+            out = {n: [] for n in schema.names}
+            for text, asked in zip(columns["text"].to_pylist(), columns["asked"].to_pylist()):
                 raw = text.encode("utf-8", "replace")
-                owner += [k] * len(own)
-                cut += [raw[u["begin"] : u["end"]] for u in own]
-            take = pa.array(owner, pa.int64())
-            out = {c: columns[c].take(take) for c in ("id", "digest")}
-            yield {**out, **{c: flat.field(c) for c in rest}, "bytes": cut}
+                for s in asked:
+                    for n in names:
+                        out[n].append(s[n])
+                    out["bytes"].append(raw[s["begin"] : s["begin"] + s["windows"] + length - 1])
+            yield out
 
-    return map_rows(joined, work, schema)
+    return map_rows(joined_, work, schema)
 
 
 def _flagged_runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -198,128 +159,65 @@ def _flagged_runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
 
 
-def sort_shards(units: DataFrame, length: int) -> DataFrame:
-    """``(id, digest, begin, end)`` of the stretches of a unit that another unit of its key
-    shares. Units of one key lie in one suffix array; several keys fill an array."""
-    schema = T.StructType(
-        [
-            *fields(units, "id", "digest"),
-            *(T.StructField(n, T.LongType()) for n in ("begin", "end")),
-        ]
-    )
-
-    def judge(shard: list[dict]) -> dict:
-        # Bytes from 2 on, 1 between units, 0 at the end; and where in which text each stands.
-        texts: dict = {}
-        parts, places = [], []
-        for u in shard:
-            own = texts.setdefault((u["id"], u["digest"]), len(texts))
-            raw = np.frombuffer(u["bytes"], np.uint8)
-            parts += [raw.astype(np.uint16) + np.uint16(2), np.ones(1, np.uint16)]
-            places.append((own << 40) + u["begin"] + np.arange(len(raw) + 1))
-        t = np.concatenate([*parts, np.zeros(1, np.uint16)])
-        place = np.append(np.concatenate(places), 0)
-        order = suffix_array(t)
-        # Suffixes that share a stretch follow one another. Contexts of one text overlap: a
-        # stretch is repeated only if it stands at different places.
-        first = np.flatnonzero(~joined(t, order, length))
-        least, most = (f.reduceat(place[order], first) for f in (np.minimum, np.maximum))
-        shared = np.zeros(len(t), bool)
-        shared[order] = np.repeat(least < most, np.diff(np.append(first, len(t))))
-        out, at = {n: [] for n in schema.names}, 0
-        for u in shard:
-            size = len(u["bytes"])
-            if u["n"] == 1:  # the others are repeated as a whole and only compared with
-                for a, b in _flagged_runs(shared[at : at + size - length + 1]):
-                    out["id"].append(u["id"])
-                    out["digest"].append(u["digest"])
-                    out["begin"].append(u["begin"] + a)
-                    out["end"].append(u["begin"] + b - 1 + length)
-            at += size + 1
-        return out
+def judge(shard: list[tuple], length: int) -> dict:
+    """Places inside the stretches ``(key, content, n, bytes)`` whose windows another one has."""
+    # Bytes from 2 on, 1 between stretches, 0 at the end.
+    parts = []
+    for *_, raw in shard:
+        parts += [np.frombuffer(raw, np.uint8).astype(np.uint16) + np.uint16(2), np.ones(1, np.uint16)]
+    t = np.concatenate([*parts, np.zeros(1, np.uint16)])
+    order = suffix_array(t)
+    # Suffixes that share a window follow one another. A window stands in a stretch once.
+    first = np.flatnonzero(~joined(t, order, length))
+    sizes = np.diff(np.append(first, len(t)))
+    shared = np.zeros(len(t), bool)
+    shared[order] = np.repeat(sizes > 1, sizes)
+    out, at = {n: [] for n in PLACES.names}, 0
+    for key, content, n, raw in shard:
+        if n == 1:  # the others are repeated as a whole and only compared with
+            for a, b in _flagged_runs(shared[at : at + len(raw) - length + 1]):
+                for name, value in zip(PLACES.names, (key, content, a, b - 1 + length)):
+                    out[name].append(value)
+        at += len(raw) + 1
+    return out
+
+
+def sort_shards(texts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """``(key, content, begin, end)`` of what other stretches share. Stretches of one key lie in
+    one suffix array; several keys fill an array."""
+    dealt = texts.repartition("key").sortWithinPartitions("key", "content")
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        shard, size = [], 0
+        shard, size, last = [], 0, None
         for columns in batches:
-            for u in pa.RecordBatch.from_pydict(columns).to_pylist():
-                if shard and size >= SHARD_BYTES and u["key"] != shard[-1]["key"]:
-                    yield judge(shard)
+            for row in zip(*(columns[c].to_pylist() for c in ("key", "content", "n", "bytes"))):
+                # Two rows with one id and text both give their stretches.
+                if row[:2] == last:
+                    continue
+                if shard and size >= shard_bytes and row[0] != last[0]:
+                    yield judge(shard, length)
                     shard, size = [], 0
-                shard.append(u)
-                size += len(u["bytes"]) + 1
+                shard.append(row)
+                size += len(row[3]) + 1
+                last = row[:2]
         if shard:
-            yield judge(shard)
-
-    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = units.repartition(parts, "key").sortWithinPartitions("key")
-    return map_rows(ordered.select("id", "digest", "begin", "key", "n", "bytes"), work, schema)
-
-
-def _ranges_of(
-    u: dict, length: int, gram: int, ranges: int
-) -> Iterator[tuple[int, int, int, bytes]]:
-    """The ranges of a unit's stretches: number, place of the bytes they cover, and the bytes
-    that all stretches of the range share."""
-    raw, at = u["bytes"], u["pos"] - u["begin"]
-    starts = length - gram + 1
-    edges = [round(k * starts / ranges) - (starts - 1) for k in range(ranges + 1)]
-    for q, (a, b) in enumerate(zip(edges, edges[1:])):
-        low, high = max(at + a, 0), min(at + b - 1, len(raw) - length)
-        if low <= high:
-            yield q, low, high + length, raw[at + b - 1 : at + a + length]
-
-
-def range_table(units: DataFrame, length: int, gram: int, ranges: int) -> DataFrame:
-    """``(id, digest, unit, part, begin, end, key, content, n)`` of every range of every unit,
-    under a hash of the bytes that all its stretches share."""
-    longs = ("unit", "part", "begin", "end", "key", "content", "n")
-    schema = T.StructType(
-        [*fields(units, "id", "digest"), *(T.StructField(n, T.LongType()) for n in longs)]
-    )
+            yield judge(shard, length)
 
-    def work(batches: Iterator[dict]) -> Iterator[dict]:
-        for columns in batches:
-            out = {n: [] for n in schema.names}
-            for u in pa.RecordBatch.from_pydict(columns).to_pylist():
-                key, begin = u["key"].to_bytes(8, "little", signed=True), u["begin"]
-                for q, low, high, core in _ranges_of(u, length, gram, ranges):
-                    content = _digest(u["bytes"][low:high], u["pos"] - begin - low)
-                    row = (u["id"], u["digest"], u["unit"], q, begin + low, begin + high)
-                    for name, value in zip(schema.names, (*row, _digest(key + core, q), content)):
-                        out[name].append(value)
-                    out["n"].append(u["n"])
-            yield out
+    return map_rows(dealt, work, PLACES)
 
-    return map_rows(units, work, schema)
 
-
-def _cut_parts(
-    units: DataFrame, chosen: DataFrame, length: int, gram: int, ranges: int
-) -> DataFrame:
-    """``chosen`` (unit, part, key, n) with place and bytes, from the units' contexts."""
-    schema = T.StructType(
-        [
-            *fields(units, "id", "digest"),
-            *(T.StructField(n, T.LongType()) for n in ("begin", "key", "n")),
-            T.StructField("bytes", T.BinaryType()),
-        ]
+def count_windows(texts: DataFrame, length: int) -> DataFrame:
+    """The same for grams with more stretches than a shard holds, window by window."""
+    at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.length("bytes") - F.lit(length)))
+    once = texts.dropDuplicates(["key", "content"])
+    single = once.select("key", "content", "n", "bytes", at.alias("at"))
+    body = F.col("bytes").substr((F.col("at") + 1).cast("int"), F.lit(length))
+    window = F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit("window"), body).alias("b"))
+    single = materialize(single.select("key", "content", "n", "at", window.alias("window")), "windows")
+    twice = single.groupBy("key", "window").agg(F.sum("n").alias("n")).filter("n > 1").drop("n")
+    return single.join(twice, ["key", "window"]).select(
+        "key", "content", F.col("at").alias("begin"), (F.col("at") + length).alias("end")
     )
-    lists = chosen.groupBy("unit").agg(F.collect_list(F.struct("part", "key", "n")).alias("parts"))
-    joined = units.select("unit", "id", "digest", "begin", "pos", "bytes").join(lists, "unit")
-
-    def work(batches: Iterator[dict]) -> Iterator[dict]:
-        for columns in batches:
-            out = {n: [] for n in schema.names}
-            for u in pa.RecordBatch.from_pydict(columns).to_pylist():
-                places = {q: (a, b) for q, a, b, _ in _ranges_of(u, length, gram, ranges)}
-                for p in u["parts"]:
-                    a, b = places[p["part"]]
-                    row = (u["id"], u["digest"], u["begin"] + a, p["key"], p["n"], u["bytes"][a:b])
-                    for name, value in zip(schema.names, row):
-                        out[name].append(value)
-            yield out
-
-    return map_rows(joined, work, schema)
 
 
 def repeated_spans(
@@ -331,89 +229,23 @@ def repeated_spans(
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """``(id, digest, begin, end)``: byte spans, possibly overlapping, that together cover the
-    bytes inside stretches of ``length`` bytes that start anywhere else too."""
+    bytes inside windows of ``length`` bytes that start anywhere else too."""
     short_batches(docs.sparkSession)
-    anchors = materialize(anchor_table(docs, id_col, text_col, length, gram), "anchors")
-    often = (
-        anchors.groupBy("key")
-        .agg(F.count("*").alias("n"), (F.min("content") != F.max("content")).alias("mixed"))
-        .filter("n > 1")
-        .select("key", "mixed")
-    )
-    held = materialize(
-        _salted(anchors, materialize(often, "anchor-hashes"), ["key"]).withColumn(
-            "unit", F.monotonically_increasing_id()
-        ),
-        "repeated-anchors",
-    )
-    spans = [_repeated_whole(held.withColumn("n", F.lit(1)))]
-
-    kinds = (
-        held.filter("mixed")
-        .groupBy("key", "content")
-        .agg(F.count("*").alias("n"), F.min("unit").alias("unit"))
-        .select("unit", "n")
-    )
-    wanted = held.join(kinds, "unit").select(
-        "id", "digest", "begin", "end", "pos", "key", "n", "unit"
-    )
-    # Repeated rows are cut once each; their contexts count twice, so they are only compared with.
-    units = materialize(_cut_contexts(docs, wanted, id_col, text_col), "contexts")
-
-    parts = materialize(range_table(units, length, gram, RANGES), "ranges")
-    distinct = materialize(
-        parts.groupBy("key", "content").agg(
-            F.sum("n").alias("n"), F.min(F.col("unit") * RANGES + F.col("part")).alias("first")
-        ),
-        "distinct-ranges",
-    )
-    whole = distinct.filter("n > 1").select("key", "content")
-    spans.append(
-        _salted(parts.filter("n = 1"), whole, ["key", "content"]).select(
-            "id", "digest", "begin", "end"
-        )
-    )
-    kinds = distinct.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    size = F.col("kinds") * (length + -(-(length - gram + 1) // RANGES))
-    chosen = salted_join(distinct, kinds.select("key", (size > shard_bytes).alias("large")), "key")
-    chosen = materialize(
-        chosen.filter("large is not null").select(
-            F.expr(f"first div {RANGES}").alias("unit"),
-            F.expr(f"first % {RANGES}").alias("part"),
-            "key",
-            "n",
-            "large",
-        ),
-        "chosen-ranges",
-    )
-    fits = _cut_parts(units, chosen.filter("not large"), length, gram, RANGES)
-    spans.append(sort_shards(fits, length))
-    over = chosen.filter("large")
-    if not over.isEmpty():
-        spans.append(_count_stretches(_cut_parts(units, over, length, gram, RANGES), length))
-    found = spans[0]
-    for more in spans[1:]:
-        found = found.union(more.select(*found.columns))
-    return found
-
-
-def _count_stretches(units: DataFrame, length: int) -> DataFrame:
-    """Spans of single stretches that occur twice, for groups too large for a shard."""
-    at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.length("bytes") - F.lit(length)))
-    single = units.select("id", "digest", "n", F.col("begin").alias("b"), "bytes", at.alias("at"))
-    body = F.col("bytes").substr((F.col("at") + 1).cast("int"), F.lit(length))
-    single = single.select(
-        "id",
-        "digest",
-        "n",
-        (F.col("b") + F.col("at")).alias("begin"),
-        (F.col("b") + F.col("at") + length).alias("end"),
-        F.xxhash64(body).alias("key"),
-        F.xxhash64(F.lit("stretch"), body).alias("content"),
+    found = materialize(stretch_table(docs, id_col, text_col, length, gram), "stretches")
+
+    def large(distinct: DataFrame) -> DataFrame:
+        size = F.sum(F.col("windows") + length)
+        sized = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n"), size.alias("size"))
+        return sized.filter(F.col("size") > shard_bytes).drop("size")
+
+    return spans_of_stretches(
+        found,
+        lambda distinct: _cut(distinct, docs, id_col, text_col, length),
+        large,
+        lambda texts: sort_shards(texts, length, shard_bytes),
+        lambda texts: count_windows(texts, length),
+        length,
     )
-    # A stretch may come with several contexts of its text: different places count.
-    place = F.xxhash64("id", "digest", "begin")
-    return _repeated_whole(single, (F.max("n") > 1) | (F.min(place) != F.max(place)))
 
 
 def remove_repeated(
