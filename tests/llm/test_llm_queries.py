@@ -16,7 +16,7 @@ NATIVE = ["op2_quality_rules", "op3_licenses", "op4_line_dedup"]
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_llm_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = queries.RUNS[name](spark, SF)
     relation = con.sql(queries.SQL[name])
