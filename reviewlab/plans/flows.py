@@ -98,7 +98,8 @@ def train_classifier(
     features: DataFrame, out_dir: str, kind: str = "logreg", split: str = "group", k: int = 5,
     seed: int = 42, use_smote: bool = True, grid: dict[str, list] | None = None,
 ):
-    """Split, balance, tune, refit, predict the hold-out, write. Returns the best model.
+    """Split, balance, tune, refit, predict the hold-out, write, with a summary of the sizes, the
+    best parameters and their score. Returns the best model.
 
     ``split`` is ``group`` (products stay together) or ``row``. Class counts are reported
     before and after oversampling, and the key overlap of the split is computed.
@@ -147,6 +148,24 @@ def train_classifier(
     predictions = read_stage(spark, f"{out_dir}/test_predictions")
     write_summary(evaluate.classification_metrics(predictions), f"{out_dir}/metrics")
     write_table(evaluate.confusion_matrix(predictions), f"{out_dir}/confusion", "csv")
+
+    best = candidates[fitted.best]
+    sizes = parted.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(F.col("split") == "train").alias("train_rows"),
+        F.count_if(F.col("split") == "test").alias("test_rows"),
+    )
+    report = sizes.select(
+        "*",
+        F.lit(split).alias("split_method"),
+        F.lit(seed).alias("seed"),
+        F.lit(k).alias("cv_folds"),
+        F.lit(use_smote).alias("smote_applied"),
+        F.create_map(*[F.lit(str(x)) for item in sorted(best.items()) for x in item]).alias("best_params"),
+        F.lit(round(fitted.avgMetrics[fitted.best], 4)).alias("best_cv_f1_macro"),
+        F.lit(model.fitted.converged).alias("converged"),
+    )
+    write_summary(report, f"{out_dir}/training_summary")
     return model
 
 

@@ -41,7 +41,11 @@ def test_flows(spark, raw, tmp_path):
         models[kind] = flows.train_classifier(
             features, f"{out}/{kind}", kind, split, k=2, use_smote=kind == "logreg", grid=grid
         )
-        assert spark.read.parquet(f"{out}/{kind}/test_predictions").count() > 0
+        tested = spark.read.parquet(f"{out}/{kind}/test_predictions").count()
+        summary = spark.read.json(f"{out}/{kind}/training_summary").first()
+        assert tested == summary.test_rows > 0
+        assert summary.train_rows + summary.test_rows == summary.total_rows
+        assert set(summary.best_params.asDict()) == set(grid) and 0 <= summary.best_cv_f1_macro <= 1
     leak = spark.read.parquet(f"{out}/logreg/leakage")
     assert leak.filter("key_name = 'asin'").first().shared_keys == 0
 
