@@ -70,14 +70,20 @@ class _Regularised(Params):
         balanced = given.get("classWeight", self.getOrDefault(self.classWeight)) == "balanced"
         return Problem(given.get("C", self.getOrDefault(self.C)), balanced, held, pair)
 
-    def _packed(self, dataset: DataFrame, fold: str | None = None, only: str | None = None):
-        return Packed(dataset, self.getFeaturesCol(), self.getLabelCol(), fold, only)
+    #: Training rows one task of a single fit should have at least.
+    rows_per_task = linear.ROWS_PER_TASK
+
+    def _packed(self, dataset: DataFrame, fold: str | None = None, only: str | None = None,
+                rows_per_task: int = linear.ROWS_PER_TASK):
+        names = self.getFeaturesCol(), self.getLabelCol()
+        return Packed(dataset, *names, fold, only, rows_per_task)
 
 
 class Packed:
     """Stored blocks of a training table, with its classes and sizes."""
 
-    def __init__(self, dataset: DataFrame, features: str, label: str, fold=None, only=None):
+    def __init__(self, dataset: DataFrame, features: str, label: str, fold=None, only=None,
+                 rows_per_task: int = linear.ROWS_PER_TASK):
         labelled = dataset.filter(F.col(label).isNotNull())
         found = labelled.select(label).distinct().limit(MAX_CLASSES + 1).collect()
         if len(found) > MAX_CLASSES:
@@ -91,7 +97,7 @@ class Packed:
         n, self.features = rows.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
         folds = rows.agg(F.coalesce(F.max(fold), F.lit(-1))).first()[0] + 1 if fold else 0
         # Each pass is a job: more tasks than the rows are worth only cost time.
-        rows = rows.coalesce(max(1, -(-n // linear.ROWS_PER_TASK)))
+        rows = rows.coalesce(max(1, -(-n // rows_per_task)))
         self.path = stage_path(dataset.sparkSession, "blocks")
         linear.pack_rows(rows, features, "_class", fold, only).write.parquet(self.path)
         self.blocks = dataset.sparkSession.read.parquet(self.path).persist()
@@ -107,6 +113,9 @@ class PenalisedLogisticRegression(
 ):
     """Multinomial logistic regression minimising C * weighted loss + |w|^2 / 2."""
 
+    #: Sums of one problem are small: several tasks share its passes.
+    rows_per_task = linear.BLOCK_ROWS
+
     @keyword_only
     def __init__(self, *, C=1.0, classWeight="none", maxIter=1000, featuresCol="features",
                  labelCol="label", predictionCol="prediction"):
@@ -170,7 +179,7 @@ class PairwiseLinearSVC(
 
 
 def _fit_one(estimator, dataset: DataFrame) -> "LinearModel":
-    packed = estimator._packed(dataset)
+    packed = estimator._packed(dataset, rows_per_task=estimator.rows_per_task)
     try:
         return _model(estimator, packed, estimator.solve(packed, [({}, None)])[0])
     finally:
