@@ -8,8 +8,9 @@ other terms at the shifted offsets decide. Windows of one item at one shift shar
 so each place is compared with the whole item once.
 
 Edge cases: a null or empty document or item has no words and matches nothing; repeated rows
-of documents are each judged, repeated items are one; a null item id counts as any other but
-is not listed; other columns are ignored; empty tables give empty tables or no hits.
+of documents are each judged, and so are different texts of one id; repeated items are one; a
+null item id counts as any other but is not listed; other columns are ignored; empty tables give
+empty tables or no hits.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reviewlab.llm.common import fields, map_rows, short_batches
-from reviewlab.sources.stages import materialize
+from reviewlab.sources.stages import broadcast_if_small, materialize
 
 WINDOW = 13
 MIN_SHARE = 20  # one hit word in so many makes a document contaminated
 #: Words of test items looked up at a time: their numbers and terms are sent to every task.
 #: More items are taken in several groups, each with its own pass over the documents.
 GROUP_WORDS = 1_000_000
+#: Runs with a place whose keys are sent to every task; more are joined by shuffle.
+SMALL_RUNS = 500_000
 
 #: ASCII letters to lower case, digits and bytes of other characters kept, the rest blank.
 TERM_BYTES = bytes(
@@ -174,6 +177,15 @@ def _close(terms: np.ndarray, item: np.ndarray, shift: int, window: int, slack:
     return spans
 
 
+def _same_run(runs: DataFrame, named: DataFrame) -> Column:
+    """Whether a run is the one of ``named`` (_id, _digest, _start); null ids are equal."""
+    return (
+        runs["id"].eqNullSafe(named["_id"])
+        & (runs["digest"] == named["_digest"])
+        & (runs["start"] == named["_start"])
+    )
+
+
 def _matches(
     docs: DataFrame, items: DataFrame, id_col: str, text_col: str, window: int, slack: int | None
 ) -> tuple[DataFrame, DataFrame]:
@@ -188,17 +200,26 @@ def _matches(
     index = materialize(
         build_index(docs, numbers, id_col, text_col, shortest, slack or 0), "index"
     )
+    # A run is told by its row's digest and start; only runs with a place are moved.
     runs = index.select("id", "digest", F.inline("runs").alias("start", "terms"))
-    postings = runs.select("*", F.posexplode("terms").alias("at", "term")).filter("term >= 0")
+    postings = runs.select(
+        "id", "digest", "start", F.posexplode("terms").alias("at", "term")
+    ).filter("term >= 0")
     frequency = materialize(postings.groupBy("term").agg(F.count("*").alias("n")), "frequency")
     probes = materialize(_probes(numbered, frequency, window), "probes")
-    key = ["id", "digest", "start", "no", "shift"]
-    places = (
+    places = materialize(
         postings.join(F.broadcast(probes), "term")
-        .withColumn("shift", F.col("at") - F.col("offset"))
-        .groupBy(*key)
-        .agg(F.first("terms").alias("terms"))
+        .select("id", "digest", "start", "no", (F.col("at") - F.col("offset")).alias("shift"))
+        .distinct(),
+        "places",
     )
+    run_key = ["id", "digest", "start"]
+    named = places.select(*[F.col(c).alias(f"_{c}") for c in run_key])
+    here = _same_run(runs, named)
+    asked = broadcast_if_small(named.distinct(), SMALL_RUNS)
+    runs = runs.join(asked, here, "left_semi").dropDuplicates(run_key)
+    places = places.withColumnsRenamed({c: f"_{c}" for c in run_key})
+    places = places.join(runs, _same_run(runs, places)).select(*run_key, "terms", "no", "shift")
     wanted = F.broadcast(numbered.withColumnRenamed("terms", "wanted"))
     compare = _exact if slack is None else _close
     span = T.StructType(
@@ -245,6 +266,19 @@ def find_items(
     and ``n_items`` counts them, a null one too. With ``slack``, occurrences are stretches of ``slack`` words more that hold the window's words
     in any order.
     """
+    return _judged(docs, items, id_col, text_col, item_col, window, slack).drop("digest")
+
+
+def _judged(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str,
+    text_col: str,
+    item_col: str = "item_id",
+    window: int = WINDOW,
+    slack: int | None = None,
+) -> DataFrame:
+    """The rows of ``find_items`` with ``digest``, a hash of the text."""
     listed = materialize(
         item_terms(items, item_col, "text")
         .select(F.col(item_col).cast("string").alias("item"), "terms")
@@ -273,6 +307,7 @@ def find_items(
     )
     return joined.select(
         F.col("id").alias(id_col),
+        "digest",
         "n_words",
         F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -302,7 +337,9 @@ def contaminated(min_share: int = MIN_SHARE) -> Column:
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` without the contaminated documents."""
-    found = find_items(docs, items, id_col, text_col)
-    gone = found.filter(contaminated()).select(F.col(id_col).alias("gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone")), "left_anti")
+    """``docs`` without the contaminated documents; of an id with several texts only the
+    contaminated ones go."""
+    found = _judged(docs, items, id_col, text_col).filter(contaminated())
+    gone = found.select(F.col(id_col).alias("gone"), "digest").distinct()
+    same = docs[id_col].eqNullSafe(gone["gone"]) & (F.xxhash64(docs[text_col]) == gone["digest"])
+    return docs.join(gone, same, "left_anti")

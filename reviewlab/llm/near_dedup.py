@@ -10,8 +10,10 @@ buckets by tiles of bounded size, always on the full sets. Links are joined by a
 component in one place.
 
 Edge cases: a null or blank text has no shingles and stays alone; a null id stays alone with
-a null component; rows with one id and one text share a component; other columns are ignored;
-an empty table gives an empty table.
+a null component; rows with one id and one text share a component; rows with one id and
+different texts are linked by their texts only, each has the component of its own text, and a
+component is named after the smallest id in it; other columns are ignored; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -37,8 +39,10 @@ SLOTS = BANDS * ROWS
 SMALL_BUCKET, TILE = 16, 512
 #: Parts over which the rows of one key are dealt in joins with a table of keys.
 SALTS = 16
-#: Ids of documents in a pair sent to every task; more are joined by shuffle.
+#: Documents in a pair whose keys are sent to every task; more are joined by shuffle.
 SMALL_IDS = 1_000_000
+#: Pairs of one document that meet its set in one task; more are dealt to several.
+SPLIT_PAIRS = 4_096
 #: Words whose hashes a worker remembers before it starts afresh.
 CACHE_WORDS = 150_000
 #: Documents whose signatures are computed together.
@@ -138,7 +142,9 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
 
 
 def sketch(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(id, n_shingles, digest, bands)`` of every row; blank texts have no bands."""
+    """``(id, stamp, n_shingles, digest, bands)`` of every row; blank texts have no bands.
+
+    ``stamp`` is a hash of the text: an id and a stamp tell a row from others of its id."""
     short_batches(df.sparkSession)
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
@@ -149,6 +155,7 @@ def sketch(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
             keys = band_keys(np.concatenate([signatures([]), *parts])).view(np.int64)
             yield {
                 "id": columns[id_col],
+                "stamp": columns["stamp"],
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "digest": [
                     hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
@@ -160,12 +167,14 @@ def sketch(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("id", df.schema[id_col].dataType),
+            T.StructField("stamp", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("digest", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
         ]
     )
-    return map_rows(df.select(id_col, text_col), work, schema)
+    rows = df.select(id_col, text_col, F.xxhash64(text_col).alias("stamp"))
+    return map_rows(rows, work, schema)
 
 
 def salted_join(
@@ -180,13 +189,15 @@ def salted_join(
     return salted.join(spread, [on, "salt"], how).drop("salt")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(id, set, short)`` of the documents in ``ids`` (id): the full sets as 64-bit integers,
-    and the upper halves of these."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def sets_of(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``(id, set, short)`` of the classes in ``asked`` (id, head, stamp), read from the texts of
+    their heads: the full sets as 64-bit integers, and the upper halves of these."""
+    texts = docs.select(
+        F.col(id_col).alias("head"), F.xxhash64(text_col).alias("stamp"), F.col(text_col).alias("text")
+    )
     # Repeated rows are dropped where the join has brought them together.
-    asked = broadcast_if_small(ids, SMALL_IDS)
-    texts = texts.join(asked, "id", "left_semi").dropDuplicates(["id"])
+    texts = texts.join(broadcast_if_small(asked, SMALL_IDS), ["head", "stamp"])
+    texts = texts.select("id", "text").dropDuplicates(["id"])
     schema = T.StructType(
         [*fields(texts, "id")] + [T.StructField(n, T.BinaryType()) for n in ("set", "short")]
     )
@@ -208,11 +219,27 @@ def _links_schema(kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(u, v)`` whose full sets are similar enough.
+def _with_set(pairs: DataFrame, sets: DataFrame, on: str, name: str) -> DataFrame:
+    """``pairs`` with the set of the document in ``on`` as ``name``. The pairs of a document in
+    very many of them, such as the leader of a large bucket, are dealt to parts by the other
+    end, and its set is repeated for each part; other sets are not."""
+    other = "v" if on == "u" else "u"
+    parts = F.ceil(F.col("n") / SPLIT_PAIRS).alias("parts")
+    busy = pairs.groupBy(on).agg(F.count("*").alias("n")).filter(F.col("n") > SPLIT_PAIRS)
+    busy = materialize(busy.select(on, parts), "busy")
+    first = F.lit(0).cast("bigint")
+    dealt = salted_join(pairs, busy, on, other, "left").withColumn(
+        "part", F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), first)
+    )
+    held = sets.select(F.col("id").alias(on), F.col("set").alias(name)).join(busy, on, "left")
+    held = held.withColumn(
+        "part", F.explode(F.sequence(first, F.coalesce(F.col("parts"), F.lit(1)) - 1))
+    )
+    return dealt.drop("parts").join(held.drop("parts"), [on, "part"]).drop("part")
 
-    A document in very many pairs makes a skewed join, which adaptive execution splits.
-    """
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(u, v)`` whose full sets are similar enough."""
 
     def compare(batches: Iterator[dict]) -> Iterator[dict]:
         for columns in batches:
@@ -227,10 +254,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 near.append(100 * (both - union) >= percent * union)
             yield {c: columns[c].filter(pa.array(near, pa.bool_())) for c in ("u", "v")}
 
-    sets = sets.select("id", "set")
-    left = sets.select(F.col("id").alias("u"), F.col("set").alias("a"))
-    right = sets.select(F.col("id").alias("v"), F.col("set").alias("b"))
-    both = pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+    # The member's set comes first: a leader has many pairs, most members have a few.
+    both = _with_set(_with_set(pairs, sets, "v", "b"), sets, "u", "a").select("u", "v", "a", "b")
     return map_rows(both, compare, _links_schema(sets.schema["id"].dataType))
 
 
@@ -370,25 +395,25 @@ def _tile_pairs(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return tiles.groupBy("key", "q", "m").applyInArrow(compare, schema)
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    size: int = SHINGLE_WORDS,
-    percent: int = MIN_PERCENT,
-) -> DataFrame:
-    """``(id, n_shingles, component_id)`` of every row.
-
-    Rows of one set are linked through their class; only different sets are compared.
-    """
+def _placed(
+    docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and ``(digest, head)`` of the classes with several rows or in a group with
+    others: ``head`` holds ``id`` and ``stamp`` of the smallest row of the whole group."""
     sketches = materialize(sketch(docs, id_col, text_col, size), "sketches")
     known = sketches.filter("id is not null and digest is not null")
+    # A class is told by a number, for an id may stand for several texts.
+    classes = known.groupBy("digest").agg(
+        F.min(F.struct("id", "stamp")).alias("head"), F.count("*").alias("n")
+    )
     classes = materialize(
-        known.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n")), "classes"
+        classes.withColumn("node", F.monotonically_increasing_id()), "classes"
+    )
+    heads = known.join(
+        classes.select("digest", "node", "head.id", "head.stamp"), ["digest", "id", "stamp"]
     )
-    heads = known.join(classes.select("digest", "id"), ["digest", "id"], "left_semi")
-    heads = heads.dropDuplicates(["id", "digest"])
-    banded = heads.select("id", F.explode("bands").alias("key"))
+    heads = heads.select("node", "bands").dropDuplicates(["node"])
+    banded = heads.select(F.col("node").alias("id"), F.explode("bands").alias("key"))
     leaders = (
         banded.groupBy("key")
         .agg(F.min("id").alias("leader"), F.max("id").alias("last"), F.count("*").alias("n"))
@@ -402,7 +427,10 @@ def near_duplicates(
         .distinct(),
         "pairs",
     )
-    asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+    paired = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    asked = classes.join(paired, "node", "left_semi").select(
+        F.col("node").alias("id"), F.col("head.id").alias("head"), F.col("head.stamp").alias("stamp")
+    )
     sets = materialize(sets_of(docs, asked, id_col, text_col, size), "sets")
     links = materialize(verified(pairs, sets, percent), "links")
     groups = materialize(components(links), "groups")
@@ -412,18 +440,35 @@ def near_duplicates(
     if not more.isEmpty():
         groups = materialize(components(links.union(more)), "groups")
 
+    linked = classes.select("node", "head").join(groups.withColumnRenamed("id", "node"), "node")
+    first = linked.groupBy("component").agg(F.min("head").alias("first"))
+    linked = salted_join(linked.select("node", "component"), first, "component", "node")
     placed = (
-        classes.join(groups, "id", "left")
-        .withColumn("component", F.coalesce("component", "id"))
-        .filter("n > 1 or component != id")
-        .select("digest", "component")
+        classes.join(linked.select("node", "first"), "node", "left")
+        .filter("n > 1 or first is not null")
+        .select("digest", F.coalesce("first", "head").alias("head"))
     )
+    return sketches, placed
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = SHINGLE_WORDS,
+    percent: int = MIN_PERCENT,
+) -> DataFrame:
+    """``(id, n_shingles, component_id)`` of every row.
+
+    Rows of one set are linked through their class; only different sets are compared.
+    """
+    sketches, placed = _placed(docs, id_col, text_col, size, percent)
     rows = sketches.select("id", "n_shingles", "digest")
     joined = salted_join(rows, placed, "digest", "id", "left")
     return joined.select(
         F.col("id").alias(id_col),
         "n_shingles",
-        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.coalesce("head.id", "id")).alias("component_id"),
     )
 
 
@@ -434,7 +479,25 @@ def keep_first(
     size: int = SHINGLE_WORDS,
     percent: int = MIN_PERCENT,
 ) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id."""
-    found = near_duplicates(docs, id_col, text_col, size, percent)
-    gone = found.filter(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """``docs`` with one row of each group: the one with the smallest id, and of several texts
+    of this id in the group, any one. Of rows that repeat id and text one stays, whatever their
+    other columns hold. Rows without an id or without words all stay.
+    """
+    sketches, placed = _placed(docs, id_col, text_col, size, percent)
+    rows = sketches.filter("id is not null and digest is not null").select("id", "stamp", "digest")
+    grouped = salted_join(rows, placed, "digest", "id")
+    gone = grouped.filter("id != head.id or stamp != head.stamp").select("id", "stamp").distinct()
+    kept = docs.join(gone, _same_row(docs, gone, id_col, text_col), "left_anti")
+    again = rows.groupBy("id", "stamp").agg(F.count("*").alias("n")).filter("n > 1")
+    again = materialize(again.select("id", "stamp"), "again")
+    if again.isEmpty():
+        return kept
+    again = broadcast_if_small(again, SMALL_IDS)
+    same = _same_row(docs, again, id_col, text_col)
+    once = kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, same, "left_anti").union(once)
+
+
+def _same_row(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> Column:
+    """Whether a row of ``docs`` is the one ``keys`` (id, stamp) names."""
+    return (docs[id_col] == keys["id"]) & (F.xxhash64(docs[text_col]) == keys["stamp"])
