@@ -240,9 +240,10 @@ def majority_label(spark, sf):
 
 
 @query(f"""{v.with_views(v.DOCS)},
-f AS (SELECT CASE review_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 2.5e0
-               ELSE CAST(review_id % 5 + 1 AS DOUBLE) END AS overall,
-             CASE WHEN review_id % 11 = 0 THEN '' ELSE text END AS text FROM docs),
+f AS (SELECT CAST(review_id % 5 + 1 AS DOUBLE) AS overall, text FROM docs
+  UNION ALL
+  SELECT CASE review_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 2.5e0 ELSE 4e0 END,
+    CASE WHEN review_id % 2 = 0 THEN '' ELSE text END FROM docs),
 l AS (SELECT {v.label_sql('overall')} AS sentiment, {v.clean_sql('text')} AS text FROM f),
 u AS (SELECT *, sentiment IS NOT NULL AND length(text) > 0 AS usable FROM l)
 SELECT count(*) AS rows_loaded, count(sentiment) AS rows_labelled,
@@ -251,14 +252,16 @@ SELECT count(*) AS rows_loaded, count(sentiment) AS rows_labelled,
        count(*) FILTER (usable AND sentiment = 'Neutral') AS n_neutral,
        count(*) FILTER (usable AND sentiment = 'Negative') AS n_negative FROM u""")
 def funnel(spark, sf):
-    i = F.col("review_id")
-    raw = v.docs(spark, sf).select(
-        F.when(i % 7 == 0, None)
-        .when(i % 7 == 1, 2.5)
-        .otherwise((i % 5 + 1).cast("double"))
-        .alias("overall"),
-        F.when(i % 11 == 0, "").otherwise(F.col("text")).alias("reviewText"),
+    i, docs = F.col("review_id"), v.docs(spark, sf)
+    rated = docs.select(
+        (i % 5 + 1).cast("double").alias("overall"), F.col("text").alias("reviewText")
     )
+    # Rows without a usable rating or text beside them.
+    edges = docs.select(
+        F.when(i % 3 == 0, None).when(i % 3 == 1, 2.5).otherwise(4.0).alias("overall"),
+        F.when(i % 2 == 0, "").otherwise(F.col("text")).alias("reviewText"),
+    )
+    raw = rated.union(edges)
     return profile.funnel(raw)
 
 

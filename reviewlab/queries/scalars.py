@@ -77,10 +77,13 @@ def to_number(spark, sf):
     return drop_invalid(numbers, ["number"]).withColumn("number", F.least("number", F.lit(1e9)))
 
 
-_PARTS_SQL = """parts AS (SELECT review_id,
-  CASE WHEN review_id % 3 <> 0 THEN asin END AS summary,
-  CASE WHEN review_id % 5 = 0 THEN NULL WHEN review_id % 7 = 0 THEN ''
-       WHEN review_id % 4 = 0 THEN '  ' || text || ' ' || chr(9) ELSE text END AS body
+# Every whole text, and rows of missing, empty and padded texts beside them.
+_PARTS_SQL = """parts AS (
+  SELECT review_id, CASE WHEN review_id % 3 <> 0 THEN asin END AS summary, text AS body
+  FROM labeled_docs
+  UNION ALL
+  SELECT -review_id - 1, CASE WHEN review_id % 2 = 0 THEN asin END,
+    CASE review_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE '  ' || text || ' ' || chr(9) END
   FROM labeled_docs)"""
 
 
@@ -89,15 +92,19 @@ SELECT review_id, {v.strip_sql("coalesce(summary, '') || ' ' || coalesce(body, '
 FROM parts""")
 def build_text(spark, sf):
     i = F.col("review_id")
-    parts = v.labeled_docs(spark, sf).select(
-        "review_id",
-        F.when(i % 3 != 0, F.col("asin")).alias("summary"),
-        F.when(i % 5 == 0, None)
-        .when(i % 7 == 0, "")
-        .when(i % 4 == 0, F.concat(F.lit("  "), F.col("text"), F.lit(" \t")))
-        .otherwise(F.col("text"))
+    docs = v.labeled_docs(spark, sf)
+    whole = docs.select(
+        i, F.when(i % 3 != 0, F.col("asin")).alias("summary"), F.col("text").alias("reviewText")
+    )
+    edges = docs.select(
+        (-i - 1).alias("review_id"),
+        F.when(i % 2 == 0, F.col("asin")).alias("summary"),
+        F.when(i % 3 == 0, None)
+        .when(i % 3 == 1, "")
+        .otherwise(F.concat(F.lit("  "), F.col("text"), F.lit(" \t")))
         .alias("reviewText"),
     )
+    parts = whole.union(edges)
     return parts.select("review_id", joined_text(parts).alias("text_raw"))
 
 
