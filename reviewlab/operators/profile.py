@@ -240,17 +240,33 @@ def flag_duplicates(df: DataFrame, keys: list[str], row_id: str) -> DataFrame:
     )
 
 
-def top_repeated_texts(df: DataFrame, text: str = "text", k: int = 10) -> DataFrame:
+def top_repeated_texts(
+    df: DataFrame, text: str = "text", k: int = 10, row_id: str | None = None
+) -> DataFrame:
     """The ``k`` most frequent non-empty normalised texts ``(text_norm, n)``; equal counts
-    in digest order. Only digests are shuffled; the winning texts are read back."""
-    normal = df.select(normalize_ws(text).alias("text_norm")).filter("text_norm <> ''")
+    in digest order. Only digests are shuffled; the winning texts are read back.
+
+    With ``row_id`` each digest carries one id, so all texts are normalised once and then only
+    the rows of ``k`` ids; an id may be null or repeat. Without it they are normalised twice.
+    """
+    carried = [row_id] if row_id else []
+    normal = df.select(normalize_ws(text).alias("text_norm"), *carried).filter("text_norm <> ''")
     keyed = normal.withColumn("digest", text_digest("text_norm"))
     winners = (
         keyed.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias("_row") for c in carried])
         .orderBy(F.desc("n"), F.asc("digest"))
         .limit(k)
     )
+    if row_id:
+        # The digest is compared after the join: as a part of its key it would be computed for
+        # every row of the table.
+        found = df.select(F.col(row_id).alias("_id"), F.col(text).alias("_text")).join(
+            F.broadcast(winners), F.col("_id").eqNullSafe(F.col("_row"))
+        )
+        norm = normalize_ws("_text")
+        own = F.when(text_digest(norm) == F.col("digest"), norm)
+        return found.groupBy("digest", "n").agg(F.max(own).alias("text_norm")).select("text_norm", "n")
     # k rows: broadcast is safe. One text per digest and task reaches the shuffle.
     return (
         keyed.join(F.broadcast(winners), "digest")
@@ -283,6 +299,26 @@ def funnel(raw: DataFrame, rating: str = "overall") -> DataFrame:
     )
 
 
+def subset_report(subset: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """``(measure, value, n)``: ``counts`` of the run so far, the rows of the subset, and its
+    rows per sentiment and per rating. Labels and ratings are rows, so they may be any number;
+    a null one has a null ``value``, and an empty subset has only the counts."""
+    run = subset.sparkSession.createDataFrame(
+        [(name, None, n) for name, n in counts.items()], "measure string, value string, n long"
+    )
+    none = F.lit(None).cast("string")
+    rows = subset.agg(F.count(F.lit(1)).alias("n"))
+    parts = [
+        F.struct(F.lit(name).alias("measure"), F.col(column).cast("string").alias("value"))
+        for name, column in (("sentiment", "sentiment"), ("rating", "overall"))
+    ]
+    shares = subset.select(F.inline(F.array(*parts))).groupBy("measure", "value")
+    return (
+        run.unionByName(rows.select(F.lit("subset_rows").alias("measure"), none.alias("value"), "n"))
+        .unionByName(shares.agg(F.count(F.lit(1)).alias("n")))
+    )
+
+
 _VALUE_KINDS = ["rating", "sentiment", "words"]
 
 

@@ -8,20 +8,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewlab.operators import classify, evaluate, sampling, tfidf
 from reviewlab.operators.generate import Factory, reply_to_questions, step_status, template_reply
 from reviewlab.operators.lexicon import attach_predictions, lexicon_compound, lexicon_polarity
-from reviewlab.operators.profile import profile_report
+from reviewlab.operators.profile import profile_report, subset_report
 from reviewlab.operators.ratings import adjust_ratings, rating_adjustment_summary
 from reviewlab.operators.smote import smote
 from reviewlab.operators.summarize import summarize_long
-from reviewlab.plans.prepare import prepare_reviews
+from reviewlab.plans.prepare import RunCounts, prepare_reviews
 from reviewlab.sources.stages import (
     materialize,
     read_stage,
+    stored,
     write_summary,
     write_table,
     write_text,
 )
 
 LEXICON_MODELS = ["compound_pred", "polarity_pred"]
+# The columns kept beside the features.
+FEATURE_LABELS = ["review_id", "sentiment", "overall", "asin", "reviewerID", "unixReviewTime"]
 
 
 def lexicon_evaluation(
@@ -29,21 +32,24 @@ def lexicon_evaluation(
     modifiers: DataFrame | None = None,
 ) -> DataFrame:
     """Label, clean, sample, score with both lexicon models, evaluate, write. Returns the
-    metrics table."""
-    prepared = prepare_reviews(raw)
-    sample = sampling.quota_sample(prepared, n, "review_id", seed=seed).select(
-        "review_id", "text", "sentiment", "overall"
-    )
-    sample = materialize(sample, "sample")
-    scored = attach_predictions(
-        sample,
-        {
-            "compound_pred": lexicon_compound(sample, lexicon, "review_id", modifiers=modifiers),
-            "polarity_pred": lexicon_polarity(sample, lexicon, "review_id", modifiers=modifiers),
-        },
-        "review_id",
-    )
-    write_table(scored, f"{out_dir}/sample")
+    metrics table. The raw rows are parsed once; the draw reads the stored ones."""
+    drawn = ["review_id", "text", "sentiment", "overall"]
+    with stored(prepare_reviews(raw).select(drawn), "prepared") as prepared:
+        sample = sampling.quota_sample(prepared, n, "review_id", seed=seed).select(drawn)
+        with stored(sample, "sample") as sample:
+            scored = attach_predictions(
+                sample,
+                {
+                    "compound_pred": lexicon_compound(
+                        sample, lexicon, "review_id", modifiers=modifiers
+                    ),
+                    "polarity_pred": lexicon_polarity(
+                        sample, lexicon, "review_id", modifiers=modifiers
+                    ),
+                },
+                "review_id",
+            )
+            write_table(scored, f"{out_dir}/sample")
     scored = read_stage(raw.sparkSession, f"{out_dir}/sample")
     metrics = evaluate.compare_models(scored, LEXICON_MODELS, "review_id", "sentiment")
     write_table(metrics, f"{out_dir}/comparison", "csv")
@@ -54,10 +60,14 @@ def lexicon_evaluation(
 
 
 def subset_and_profile(raw: DataFrame, out_dir: str, n: int = 2000, seed: int = 42) -> DataFrame:
-    """Labelled subset and its profile. Returns the subset stage table."""
-    subset = sampling.stratified_subset(prepare_reviews(raw), n, "review_id", seed=seed)
-    write_table(subset, f"{out_dir}/subset")
+    """Labelled subset, its profile, and a report of the rows each step left. Returns the subset
+    stage table. The raw rows are parsed and counted once, while the prepared ones are stored."""
+    counts = RunCounts()
+    with stored(prepare_reviews(raw, counts=counts), "prepared") as prepared:
+        subset = sampling.stratified_subset(prepared, n, "review_id", seed=seed)
+        write_table(subset, f"{out_dir}/subset")
     stage = read_stage(raw.sparkSession, f"{out_dir}/subset")
+    write_table(subset_report(stage, counts.get()), f"{out_dir}/subset_report", "csv")
     write_summary(profile_report(stage), f"{out_dir}/profile")
     return stage
 
@@ -84,7 +94,7 @@ def build_features(
     rows = tfidf.tfidf_rows(terms, vocabulary, "review_id")
     vectors = tfidf.tfidf_vectors(rows, vocabulary.count(), "review_id")
     labels = prepared.select(
-        *[c for c in ["review_id", "sentiment", "asin", "reviewerID"] if c in prepared.columns]
+        *[c for c in FEATURE_LABELS if c in prepared.columns]
     )
     write_table(vectors.join(labels, "review_id"), f"{out_dir}/features")
     summary = tfidf.tfidf_summary(
@@ -197,6 +207,7 @@ def compare_on_sample(
     metrics, confusions = classify.evaluate_models(test, tables, "review_id")
     write_table(metrics, f"{out_dir}/comparison", "csv")
     write_table(confusions, f"{out_dir}/confusions", "csv")
+    write_table(evaluate.set_sizes(test, "sentiment"), f"{out_dir}/test_set", "csv")
     return metrics
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewlab.operators import sampling
+from reviewlab.operators import profile, sampling
 from reviewlab.operators.rowids import with_row_id
 from reviewlab.operators.smote import as_points, class_neighbours, class_sizes
 from reviewlab.operators.smote import smote as oversample
-from reviewlab.queries import views as v
+from reviewlab.plans import prepare
+from reviewlab.queries import texts, views as v
 from reviewlab.queries.registry import query
+from reviewlab.sources.stages import materialize
 
 _RANKED_SQL = f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY sentiment
   ORDER BY {v.hash_sql('review_id')}, review_id) AS rn FROM base)"""
@@ -46,6 +48,25 @@ def stratified_subset(spark, sf):
     return df.select("review_id", "sentiment", "overall")
 
 
+@query(f"""{v.with_views(v.LABELED_DOCS, texts.RAW_SQL)},
+{texts.PREPARED_SQL}, base AS (SELECT review_id, sentiment, overall FROM prepared),
+{_COUNTS_SQL}, {_RANKED_SQL}, {_remainder_sql('least(200, total)')},
+subset AS (SELECT ranked.* FROM ranked JOIN q USING (sentiment) WHERE rn <= k)
+SELECT 'rows_loaded' AS measure, NULL AS value, count(*) AS n FROM raw
+UNION ALL SELECT 'rows_labelled', NULL, count({v.label_sql('stars')}) FROM parsed
+UNION ALL SELECT 'rows_with_text', NULL, count(*) FROM prepared
+UNION ALL SELECT 'subset_rows', NULL, count(*) FROM subset
+UNION ALL SELECT 'sentiment', sentiment, count(*) FROM subset GROUP BY 2
+UNION ALL SELECT 'rating', CAST(overall AS VARCHAR), count(*) FROM subset GROUP BY 2""")
+def subset_report(spark, sf):
+    """What the steps from raw rows to a subset left; the first counts come from the job that
+    stores the prepared rows."""
+    counts = prepare.RunCounts()
+    prepared = materialize(prepare.prepare_reviews(texts.raw_reviews(spark, sf), counts=counts))
+    subset = sampling.stratified_subset(prepared, 200, "review_id")
+    return profile.subset_report(subset, counts.get())
+
+
 @query(f"""{v.with_views(v.REVIEWS)}
 SELECT review_id, asin FROM reviews ORDER BY {v.hash_sql('review_id')}, review_id LIMIT 1000""")
 def sample_n(spark, sf):

@@ -142,7 +142,7 @@ t AS (SELECT {v.squeeze_sql('lower(text)')} AS text_norm FROM docs)
 SELECT text_norm, count(*) AS n FROM t WHERE text_norm <> '' GROUP BY text_norm
 ORDER BY n DESC, sha256(text_norm) LIMIT 10""")
 def top_repeated_texts(spark, sf):
-    return profile.top_repeated_texts(v.docs(spark, sf))
+    return profile.top_repeated_texts(v.docs(spark, sf), row_id="review_id")
 
 
 @query(f"""{v.with_views(v.PRODUCT_REVIEWS)}

@@ -289,7 +289,7 @@ def class_weights(spark, sf):
     return df.withColumn("weight", F.round("weight", 6))
 
 
-_RAW_SQL = """raw AS (
+RAW_SQL = """raw AS (
   SELECT review_id, CAST(overall AS VARCHAR) AS overall, asin AS summary, text AS body, asin
   FROM labeled_docs
   UNION ALL SELECT -review_id - 1, 'none', asin, text, asin FROM labeled_docs WHERE review_id % 5 = 0
@@ -299,16 +299,17 @@ _RAW_SQL = """raw AS (
     WHERE review_id % 3 = 0)"""
 
 
-@query(f"""{v.with_views(v.LABELED_DOCS, _RAW_SQL)},
-parsed AS (SELECT *, TRY_CAST(trim(overall) AS DOUBLE) AS stars,
+PREPARED_SQL = f"""parsed AS (SELECT *, TRY_CAST(trim(overall) AS DOUBLE) AS stars,
   {v.strip_sql("coalesce(summary, '') || ' ' || coalesce(body, '')")} AS text_raw FROM raw),
-cleaned AS (SELECT *, {v.clean_sql('text_raw')} AS text FROM parsed WHERE stars IS NOT NULL)
-SELECT review_id, stars AS overall, {v.label_sql('stars')} AS sentiment, text, text_raw,
+cleaned AS (SELECT *, {v.clean_sql('text_raw')} AS text FROM parsed WHERE stars IS NOT NULL),
+prepared AS (SELECT review_id, stars AS overall, {v.label_sql('stars')} AS sentiment, text, text_raw,
   CAST(len({v.split_words_sql('text')}) AS INTEGER) AS word_len,
   CAST(length(text) AS INTEGER) AS char_len, asin
-FROM cleaned WHERE text <> '' AND {v.label_sql('stars')} IS NOT NULL""")
-def prepare_reviews(spark, sf):
-    """Labelled and cleaned rows of the documents, with rows added that lack a rating or text."""
+FROM cleaned WHERE text <> '' AND {v.label_sql('stars')} IS NOT NULL)"""
+
+
+def raw_reviews(spark, sf):
+    """The documents as raw reviews, with rows added that lack a rating or text."""
     docs = v.labeled_docs(spark, sf).select(
         "review_id", F.col("overall").cast("string").alias("overall"),
         F.col("asin").alias("summary"), F.col("text").alias("reviewText"), "asin",
@@ -325,5 +326,18 @@ def prepare_reviews(spark, sf):
         {"review_id": -F.col("review_id") - 200_000_001, "overall": F.lit("2"),
          "summary": F.lit(""), "reviewText": F.concat(F.lit(" "), "reviewText"), "asin": none}
     )
-    raw = docs.unionByName(unrated).unionByName(empty).unionByName(bare)
-    return prepare.prepare_reviews(raw)
+    return docs.unionByName(unrated).unionByName(empty).unionByName(bare)
+
+
+@query(f"""{v.with_views(v.LABELED_DOCS, RAW_SQL)},
+{PREPARED_SQL} SELECT * FROM prepared""")
+def prepare_reviews(spark, sf):
+    """Labelled and cleaned rows of the documents, with rows added that lack a rating or text."""
+    return prepare.prepare_reviews(raw_reviews(spark, sf))
+
+
+@query(f"""{v.with_views(v.LABELED_DOCS)}
+SELECT sentiment AS label, count(*) AS n,
+  round(count(*) / sum(count(*)) OVER (), 6) AS share FROM labeled_docs GROUP BY sentiment""")
+def set_sizes(spark, sf):
+    return evaluate.set_sizes(v.labeled_docs(spark, sf))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -66,6 +67,17 @@ def materialize(df: DataFrame, name: str = "stage", vectors: Sequence[str] = ())
     return spark.read.schema(_with_vectors(df.schema, vectors)).parquet(path)
 
 
+@contextmanager
+def stored(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """``df`` as a stage table that is deleted at the end of the block, also after an error."""
+    path = stage_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_stage(df.sparkSession, path)
+
+
 def _with_vectors(schema: T.StructType, vectors: Sequence[str]) -> T.StructType:
     return T.StructType(
         [

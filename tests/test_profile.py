@@ -54,6 +54,17 @@ def test_duplicates(spark):
     assert rows(profile.top_repeated_texts(df, k=1)) == [("a", 2)]
 
 
+def test_repeated_texts_are_read_back_by_id(spark):
+    texts = [(1, "A  b"), (2, "c"), (2, "a b"), (None, "d"), (None, "D"), (None, "d "), (3, ""), (4, None)]
+    df = spark.createDataFrame(texts, "id long, text string")
+    got = profile.top_repeated_texts(df, k=2, row_id="id")
+    assert sorted(rows(got)) == [("a b", 2), ("d", 3)] == sorted(rows(profile.top_repeated_texts(df, k=2)))
+    assert profile.top_repeated_texts(df.limit(0), row_id="id").count() == 0
+    # Only the rows of the winning ids are normalised again: the second time is after the join.
+    joined = got._jdf.queryExecution().executedPlan().toString().split("BroadcastHashJoin")
+    assert "sha2" not in joined[1].split("BroadcastExchange")[0]
+
+
 def test_majority_ties_go_to_the_first_label(spark):
     data = [("p", "Positive"), ("p", "Negative"), ("p", "Positive"), ("p", "Negative"),
             ("q", "Neutral"), ("r", None)]
