@@ -536,9 +536,17 @@ def judge(url):
     return host, path, rule, verdict
 
 
-@pytest.mark.parametrize("carried", [100_000, 2])
-def test_url_rules(spark, monkeypatch, carried):
-    monkeypatch.setattr(url_filter, "SWEEP_RULES", carried)
+@pytest.fixture
+def partitions(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    yield lambda n: spark.conf.set(name, str(n))
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("ranges", [1, 8, 40])
+def test_url_rules(spark, partitions, ranges):
+    partitions(ranges)
     rng = random.Random(6)
     hosts = ["example.com", "www.EXAMPLE.com", "notexample.com", "com", "a.b.net", "b.net", "x.org",
              "example.com.net", "a-b.net", "a.b.net.", ""]
@@ -555,3 +563,38 @@ def test_url_rules(spark, monkeypatch, carried):
     none = url_filter.match_rules(pages, rules.limit(0)).collect()
     assert {(r.rule, r.verdict) for r in none} == {(None, "allow")}
     assert url_filter.match_rules(pages.limit(0), rules).count() == 0
+
+
+def test_rules_reach_every_range_they_are_open_in(spark, partitions):
+    """Many rules, nested and beside one another, a hot host over many ranges, odd rules."""
+    partitions(24)
+    rng = random.Random(8)
+    labels = ["a", "ab", "b", "c-d", "é", "z"]
+    hosts = [".".join(rng.choices(labels, k=rng.randint(1, 4))) for _ in range(1500)]
+    listed = [(h, rng.choice(["", "/", "/x", "/x/y"]), rng.choice(["allow", "block"])) for h in hosts[:600]]
+    odd = [(None, "/", "block"), ("", "/", "block"), ("z", "/q", None), ("Z", None, "block")] + listed[:3]
+    urls = [f"http://{h}{rng.choice(['', '/', '/x/z', '/x/y/z'])}" for h in hosts * 2]
+    urls += [f"http://a.b/x/{i}" for i in range(2000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "key long, url string")
+    rules = spark.createDataFrame(listed + odd, "host string, path string, verdict string")
+    got = {r.key: (r.rule, r.verdict) for r in url_filter.match_rules(pages, rules, "key").collect()}
+    known = {*listed, ("z", "", "block")}
+    for i, url in enumerate(urls):
+        host, _, path = url[7:].partition("/")
+        path = url[7 + len(host) :]
+        ends = host.split(".")
+        over = {".".join(ends[n:]) for n in range(len(ends))}
+        fits = [(len(h + p), -len(h), v, h + p) for h, p, v in known if h in over and path.startswith(p)]
+        best = min(fits, key=lambda f: (-f[0], -f[1], f[2]), default=None)
+        assert got[i] == ((best[3], best[2]) if best else (None, "allow")), url
+
+
+def test_rules_do_not_pass_the_driver(spark):
+    """A million rules: the driver collects the ends of the ranges only."""
+    n = 1_000_000
+    rules = spark.range(n).selectExpr(
+        "concat('h', id, '.example.com') as host", "'/' as path", "'block' as verdict"
+    )
+    pages = spark.range(0, n, 997).selectExpr("id as page_id", "concat('http://x.h', id, '.example.com/') as url")
+    got = url_filter.match_rules(pages, rules)
+    assert got.filter("rule = concat(substring(host, 3), '/') and verdict = 'block'").count() == pages.count()
