@@ -2,8 +2,11 @@
 
 Assignments, access keys and long hexadecimal runs are found by pattern. Beyond these, a run
 of key characters is reported when the tokenizer needs nearly as many tokens as a random
-string would: few characters per token. Digests, unique identifiers and plain numbers are as
-random but no secrets, and are left out; so is what a pattern has found already.
+string would: few characters per token. Digests (hexadecimal ones, and integrity strings such as
+``sha512-...==``), unique identifiers and plain numbers are as random but no secrets, and are left
+out; so is what a pattern has found already. A key may stand in a path: a run loses the words and
+numbers, between ``/``, ``=`` and ``-``, at its ends. It is judged whole then, and if it is no
+secret, piece by piece.
 
 Edge cases: a null text counts as empty and has no spans; repeated rows are each scanned;
 other columns are ignored; an empty table gives an empty table.
@@ -38,7 +41,13 @@ RANDOM_CHARS = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RANDOM_CHARS)
 DIGEST_CHARS = {32, 40, 48, 56, 64, 96, 128}
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-UNIQUE_ID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+KNOWN = re.compile(
+    r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])"
+    r"|md5-[A-Za-z0-9+/]{22}==|sha1-[A-Za-z0-9+/]{27}=|sha256-[A-Za-z0-9+/]{43}="
+    r"|sha384-[A-Za-z0-9+/]{64}|sha512-[A-Za-z0-9+/]{86}=="
+)
+PIECE = re.compile(r"[A-Za-z0-9+_]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 MIXED = re.compile(r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]|[a-z].*[A-Z].*[a-z].*[A-Z]")
 
 
@@ -62,21 +71,46 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _free_parts(text: str, found: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of key-like runs outside the spans in ``found`` and known values, in order."""
+    taken = sorted([(a, b) for a, _, b in found] + [m.span() for m in KNOWN.finditer(text)])
+    at, covered = 0, 0
+    for m in CANDIDATE.finditer(text):
+        begin, end = m.span()
+        while at < len(taken) and taken[at][0] < end:
+            start, stop = taken[at]
+            at += 1
+            if start > max(begin, covered):
+                yield max(begin, covered), start
+            covered = max(covered, stop)
+        if end > max(begin, covered):
+            yield max(begin, covered), end
+
+
 def random_spans(
     text: str, found: list[tuple[int, int, int]], coder: tiktoken.Encoding, most: float
 ) -> list[tuple[int, int, int]]:
-    """Runs with at most ``most`` characters per token that no span in ``found`` touches."""
+    """Parts of runs with at most ``most`` characters per token outside the spans in ``found``."""
+
+    def is_random(part: str) -> bool:
+        if len(part) < RANDOM_CHARS or not MIXED.search(part):
+            return False
+        if len(part) in DIGEST_CHARS and DIGEST.fullmatch(part):
+            return False
+        return len(part) <= most * len(coder.encode_ordinary(part))
+
     spans = []
-    for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if not MIXED.search(run) or UNIQUE_ID.fullmatch(run):
-            continue
-        if len(run) in DIGEST_CHARS and DIGEST.fullmatch(run):
-            continue
-        if any(start < m.end() and m.start() < end for start, _, end in found):
+    for begin, end in _free_parts(text, found):
+        pieces = [m.span() for m in PIECE.finditer(text, begin, end) if not WORD.fullmatch(m[0])]
+        if not pieces:
             continue
-        if len(run) <= most * len(coder.encode_ordinary(run)):
-            spans.append((m.start(), 3, m.end()))
+        stop = pieces[-1][1]
+        while stop < end and text[stop] == "=":
+            stop += 1
+        if is_random(text[pieces[0][0] : stop]):
+            spans.append((pieces[0][0], 3, stop))
+        else:
+            spans += [(a, 3, b) for a, b in pieces if is_random(text[a:b])]
     return spans
 
 
