@@ -11,7 +11,7 @@ import sys
 import warnings
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -29,6 +29,9 @@ from reviewlab.schema import require_columns
 # Workers need not have this package: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Rows whose texts a task holds in Python at a time.
+PART_ROWS = 256
+
 Generator = Callable[[str], str]
 Factory = Callable[[], Generator]
 
@@ -66,24 +69,30 @@ def generate(
         ]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         generator = used = None
         for batch in batches:
             if generator is None:
                 generator, used = _load(primary, fallback)
-            texts, errors = [], []
-            for p in batch[prompt]:
-                try:
-                    texts.append(str(generator(p)).strip())
-                    errors.append(None)
-                except Exception as exc:
-                    if not keep_going:
-                        raise
-                    texts.append("")
-                    errors.append(f"{type(exc).__name__}: {exc}")
-            yield batch.assign(generated=texts, generator_used=used, error=errors)
-
-    return df.mapInPandas(run, schema)
+            # A few rows at a time: long texts take much more room as Python's texts.
+            for at in range(0, batch.num_rows, PART_ROWS):
+                part = batch.slice(at, PART_ROWS)
+                texts, errors = [], []
+                for p in part.column(prompt).to_pylist():
+                    try:
+                        texts.append(str(generator(p)).strip())
+                        errors.append(None)
+                    except Exception as exc:
+                        if not keep_going:
+                            raise
+                        texts.append("")
+                        errors.append(f"{type(exc).__name__}: {exc}")
+                made = [pa.array(x, pa.string()) for x in (texts, [used] * len(texts), errors)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
+
+    return df.mapInArrow(run, schema)
 
 
 def long_texts(
