@@ -129,7 +129,7 @@ def features_roundtrip(spark, sf):
         tfidf.prepare_text(v.docs(spark, sf), label=None), "review_id", ngram=(1, 1)
     )
     vocabulary = stages.materialize(tfidf.fit_vocabulary(terms, max_features=None), "vocabulary")
-    rows = tfidf.tfidf_rows(terms, vocabulary, "review_id")
+    rows = tfidf.tfidf_rows(terms, vocabulary, "review_id", words=False)
     path = _folder(spark, "features")
     stages.write_features(tfidf.tfidf_vectors(rows, vocabulary.count(), "review_id"), path)
     return _indices(stages.read_features(spark, path))

@@ -86,7 +86,7 @@ def tfidf_transform(spark, sf):
     """Vocabulary fitted on the labelled documents, applied to all of them."""
     fitted = tfidf.row_terms(_prepared_labeled(spark, sf), "review_id")
     every = tfidf.row_terms(_prepared_docs(spark, sf), "review_id")
-    rows = tfidf.tfidf_rows(every, tfidf.fit_vocabulary(fitted), "review_id")
+    rows = tfidf.tfidf_rows(every, tfidf.fit_vocabulary(fitted), "review_id", words=False)
     total = F.aggregate(
         "entries",
         F.lit(0).cast("bigint"),
