@@ -15,6 +15,8 @@ from reviewlab.operators.joins import lookup_join
 from reviewlab.operators.tfidf import BROADCAST_TERMS
 from reviewlab.sources.stages import materialize
 
+#: Texts of one task.
+TEXTS_PER_TASK = 1_000
 #: Enough for any sum order to round alike when sentences tie.
 SCORE_DIGITS = 6
 
@@ -38,10 +40,15 @@ def summarize_long(
     chosen = _first_or_all(long_texts(df, min_words, row_id, text), n, "long texts")
     vocab = materialize(vocabulary.select("term", "idf"), "vocabulary")
     # One shuffle by text id; every group below is inside one text, so the planner
-    # reuses this partitioning throughout.
+    # reuses this partitioning throughout. The words of a text take many times its room: the
+    # number of parts follows the rows and is stated, so that parts are not merged by bytes.
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.count() if n is None else n
+    parts = max(least, -(-rows // TEXTS_PER_TASK))
     split = (
         chosen.select("review_id", "original_text")
-        .repartition("review_id")
+        .repartition(parts, "review_id")
         .select("review_id", F.posexplode_outer(sentences("original_text")).alias("pos", "sentence"))
         .filter("sentence is not null")
         .withColumn("n_words", word_count("sentence"))
