@@ -31,6 +31,53 @@ def test_products_of_a_block_match_a_dense_matrix():
     assert np.allclose(block.transposed_dot(v, 41), dense.T @ v)
 
 
+def test_entries_of_some_rows_match_a_dense_matrix():
+    rng = np.random.default_rng(4)
+    block, dense = _block(rng)
+    dense, keep, v, w = dense[:, :-1], rng.random(50) < 0.5, rng.normal(size=50), rng.normal(size=40)
+    rows = linear.Entries(block.rows_of_entries().astype(np.int32), block.indices, block.values, 50, 40)
+    assert np.allclose(rows.dot(w), dense @ w) and np.allclose(rows.transposed_dot(v), dense.T @ v)
+    some = rows.only(keep)
+    assert np.allclose(some.dot(w), dense[keep] @ w)
+    assert np.allclose(some.transposed_dot(v[keep]), dense[keep].T @ v[keep])
+
+
+def test_balanced_values_stay_in_the_box_and_add_up():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        sides, upper = rng.choice([-1.0, 1.0], 30), rng.random(30) + 0.1
+        sides[:2] = 1.0, -1.0
+        got = linear._balanced(rng.normal(size=30) * 5, sides, upper, 0.0)
+        assert abs(sides @ got) < 1e-9 and (got >= 0).all() and (got <= upper).all()
+
+
+def test_near_copies_of_both_classes_are_told_apart(spark):
+    from reviewlab.operators.classify import PairwiseLinearSVC
+
+    # Each row has a near copy in another class: the dual variables are nearly dependent.
+    rng = np.random.default_rng(8)
+    x = np.abs(rng.normal(size=(150, 200))) * (rng.random((150, 200)) < 0.1)
+    x = np.concatenate((x, x + 0.02 * rng.normal(size=x.shape) * (x > 0)))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    y = np.concatenate((np.arange(150) % 3, (np.arange(150) + 1) % 3))
+    # Kept as stored vectors are: without zeros, a row may have none.
+    rows = [([int(i) for i in np.flatnonzero(r)], [float(v) for v in r[r != 0]], float(c)) for r, c in zip(x, y)]
+    df = spark.createDataFrame(rows, "i array<int>, v array<double>, label double")
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(200).alias("size"),
+                      F.col("i").alias("indices"), F.col("v").alias("values"))
+    from reviewlab.sources.stages import materialize
+
+    df = materialize(df.select(vector.alias("features"), "label"), "copies", ["features"])
+    fit = PairwiseLinearSVC(C=1000.0, classWeight="balanced", maxIter=20).fit(df).fitted
+    assert fit.converged and fit.certificate <= linear.GAP
+    for k, (low, high) in enumerate([(0, 1), (0, 2), (1, 2)]):
+        inside = (y == low) | (y == high)
+        side, weight = np.where(y[inside] == high, 1.0, -1.0), 1000.0 * (300 / (3 * np.bincount(y)))[y[inside]]
+        w = fit.coefficients[:, k]
+        value = 0.5 * w[:-1] @ w[:-1] + weight @ np.maximum(0, 1 - side * (x[inside] @ w[:-1] + w[-1]))
+        assert fit.bounds[k] <= value <= fit.bounds[k] * (1 + 2 * linear.GAP)
+
+
 def test_tasks_without_blocks_are_not_counted(spark):
     # One row in one of six partitions.
     rows = spark.range(0, 6, 1, 6).filter("id = 4")
