@@ -173,3 +173,23 @@ def test_parts_of_summaries_follow_the_texts(spark, monkeypatch):
     assert stated and {int(n) for n in stated} == {max(30, least)}
     got = out.withColumn("n", word_count("generated_summary")).collect()
     assert len(got) == 60 and all(0 < r.n <= 50 for r in got)
+
+
+def test_certificates_join_an_entry_once_for_all_candidates(spark, monkeypatch):
+    from reviewlab.operators import classify
+    from reviewlab.sources.stages import materialize
+
+    rng = np.random.default_rng(9)
+    rows = [(i, [0, 2], [float(rng.normal() + i % 3), 1.0], float(i % 3)) for i in range(90)]
+    df = spark.createDataFrame(rows, "row_id int, i array<int>, v array<double>, label double")
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(3).alias("size"),
+                      F.col("i").alias("indices"), F.col("v").alias("values"))
+    df = materialize(df.select("row_id", vector.alias("features"), "label"), "few", ["features"])
+    joined, join = [], classify.lookup_join
+    monkeypatch.setattr(classify, "lookup_join", lambda *a: joined.append(out := join(*a)) or out)
+    maps = [{"C": c} for c in (0.1, 1.0, 10.0)]
+    estimator = classify.PairwiseLinearSVC()
+    found = {r.candidate: r for r in classify.certificates(df, estimator, maps).collect()}
+    assert set(found) == {0, 1, 2} and all(r.n_rows == 90 and r.measure <= 2e-4 for r in found.values())
+    # Every entry meets the coefficients of all 9 columns in one row.
+    assert sum(t.count() for t in joined) == 180
