@@ -48,7 +48,7 @@ def test_products_of_prepared_rows_match_a_dense_matrix():
 
 def test_tasks_that_hold_all_rows_need_no_passes(spark, monkeypatch):
     rng = np.random.default_rng(5)
-    rows = [(i, [0, 1 + i % 4], [float(rng.normal() + i % 3), 1.0], i % 3, i % 3) for i in range(300)]
+    rows = [(i, [0, 1 + i % 4], [float(rng.normal() + i % 3), 1.0], i % 3, i // 3 % 3) for i in range(300)]
     df = spark.createDataFrame(rows, "i int, a array<int>, v array<double>, y int, fold int")
     vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(5).alias("size"),
                       F.col("a").alias("indices"), F.col("v").alias("values"))
@@ -66,5 +66,11 @@ def test_tasks_that_hold_all_rows_need_no_passes(spark, monkeypatch):
     near = estimator.solve(packed, asked[-1:], together[-1].coefficients)[0]
     packed.close()
     assert passes and near.iterations < 3 and near.converged
-    for a, b in zip(alone, together):
-        assert a.converged and b.converged and np.allclose(a.coefficients, b.coefficients, atol=1e-4)
+    # Two points with a gradient of GRADIENT are this far apart where the penalty alone bends the loss.
+    for (given, _), a, b in zip(asked, alone, together):
+        assert a.converged and b.converged
+        if given["maxIter"] == 1000:
+            apart = 2 * linear.GRADIENT * given["C"] * 200
+            assert np.abs(a.coefficients - b.coefficients).max() <= apart
+        else:
+            assert np.allclose(a.coefficients, b.coefficients, atol=1e-6)
